@@ -30,8 +30,10 @@ from footfall.sources import (
     fresh_folder,
     load_clean,
     orders_log,
+    part_categories,
     read_log,
     save,
+    table,
     write_clean,
     write_rfm,
 )
@@ -99,10 +101,9 @@ def _rfm_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _batch_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Look up every part and every brand there is."""
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
-    digits = F.regexp_extract("p_brand", "([0-9]+)$", 1)
-    requests = parts.select(F.lit("item").alias("kind"), F.col("p_partkey").alias("id")).unionAll(
-        parts.select(F.lit("category"), digits.cast("long")).distinct()
+    parts = part_categories(spark, sf_dir)
+    requests = parts.select(F.lit("item").alias("kind"), F.col("item_id").alias("id")).unionAll(
+        parts.select(F.lit("category"), F.col("category_id").cast("long")).distinct()
     )
     return lookups.batch_lookup(orders_log(spark, sf_dir), requests)
 
@@ -125,9 +126,7 @@ CATALOGUE: dict[str, Query] = {
     "result_roundtrip": _result_roundtrip,
     # quality
     "quality_report": _on_events(lambda log: quality.range_report(log, *RANGE)),
-    "quality_nulls": lambda spark, sf_dir: quality.null_counts(
-        spark.read.parquet(f"{sf_dir}/events.parquet")
-    ),
+    "quality_nulls": lambda spark, sf_dir: quality.null_counts(table(spark, sf_dir, "events")),
     "quality_enum": _on_events(quality.behavior_domain),
     "quality_duplicates": _on_orders(lambda log: quality.duplicate_report(_raw(log))),
     # users

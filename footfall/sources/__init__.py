@@ -2,7 +2,7 @@
 
 from footfall.sources.logs import RAW_SCHEMA, load_clean, read_log
 from footfall.sources.sinks import save, write_clean, write_rfm
-from footfall.sources.tables import events_log, orders_log
+from footfall.sources.tables import events_log, orders_log, part_categories, table
 from footfall.sources.workspace import fresh_folder
 
 __all__ = [
@@ -11,8 +11,10 @@ __all__ = [
     "fresh_folder",
     "load_clean",
     "orders_log",
+    "part_categories",
     "read_log",
     "save",
+    "table",
     "write_clean",
     "write_rfm",
 ]

@@ -5,11 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Columns used, with their types: a declared schema saves the footer-reading
+# job that inference starts, and reads no column a query does not need.
+_SCHEMAS = {
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+        "value DOUBLE, props STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_returnflag STRING, l_linestatus STRING, "
+        "l_shipdate TIMESTAMP_NTZ"
+    ),
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT",
+    "part": "p_partkey BIGINT, p_brand STRING",
+}
+
 _MICROS = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {})"
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables."""
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def part_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item and category of every part; the category ends the brand's name."""
+    digits = F.regexp_extract("p_brand", "([0-9]+)$", 1)
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("item_id"), digits.cast("int").alias("category_id")
+    )
 
 
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +52,7 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     item = F.get_json_object("props", "$.k").cast("int")
     micros = F.expr(_MICROS.format("ts"))
-    return _read(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         "event_id",
         "user_id",
         item.alias("item_id"),
@@ -50,12 +74,15 @@ def orders_log(
     The user comes from ``orders`` and the category from ``part``.  Ask only
     for what a query needs: a dimension that is left out costs no join.
     """
-    flags = F.concat("l_returnflag", "l_linestatus")
+    returned, opened = F.col("l_returnflag") == "R", F.col("l_linestatus") == "O"
     behavior = (
-        F.when(flags == "NO", "cart").when(flags == "RF", "fav").when(flags == "RO", "buy")
-    ).otherwise("pv")
+        F.when(opened & (F.col("l_returnflag") == "N"), "cart")
+        .when(returned & (F.col("l_linestatus") == "F"), "fav")
+        .when(returned & opened, "buy")
+        .otherwise("pv")
+    )
     micros = F.expr(_MICROS.format("l_shipdate"))
-    log = _read(spark, sf_dir, "lineitem").select(
+    log = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         F.col("l_partkey").alias("item_id"),
         behavior.alias("behavior"),
@@ -65,14 +92,10 @@ def orders_log(
         F.hour("l_shipdate").alias("hour"),
     )
     if user:
-        orders = _read(spark, sf_dir, "orders").select(
+        orders = table(spark, sf_dir, "orders").select(
             F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id")
         )
         log = log.join(orders, "l_orderkey")
     if category:
-        digits = F.regexp_extract("p_brand", "([0-9]+)$", 1)
-        parts = _read(spark, sf_dir, "part").select(
-            F.col("p_partkey").alias("item_id"), digits.cast("int").alias("category_id")
-        )
-        log = log.join(parts, "item_id")
+        log = log.join(part_categories(spark, sf_dir), "item_id")
     return log.drop("l_orderkey")
