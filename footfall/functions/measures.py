@@ -32,7 +32,7 @@ def rate(part: Column, whole: Column) -> Column:
 
 def rows_of(behavior: str) -> Column:
     """Number of rows with this behaviour."""
-    return F.count_if(F.col("behavior") == behavior)
+    return F.count(F.when(F.col("behavior") == behavior, F.lit(1)))
 
 
 def seen_by_user(log: DataFrame, *keys: str) -> DataFrame:
@@ -62,11 +62,16 @@ def users_where(condition: Column) -> Column:
     return F.count(F.when(condition, F.col("user_id")))
 
 
-def activity(log: DataFrame, *keys: str) -> DataFrame:
+def activity(log: DataFrame, *keys: str, only: DataFrame | None = None) -> DataFrame:
     """Row counts per behaviour, distinct users and conversion for each key.
 
     ``interest_uv`` is the distinct union of viewing, carting and favouriting
     users; ``cvr`` is buyers over those.
+
+    ``only`` restricts the result to the keys it holds.  The semi join stands
+    above the rollups: where ``only`` is small enough to broadcast, Catalyst
+    moves it below them to the scan, and where not, the join sees one row per
+    key and so has no hot key.
     """
     per_user = log.groupBy(*keys, "user_id").agg(
         *(rows_of(b).alias(b) for b in (VIEW, FAV, CART, BUY)),
@@ -79,6 +84,8 @@ def activity(log: DataFrame, *keys: str) -> DataFrame:
         users_where(F.col(BUY) > 0).alias("buy_uv"),
         *(F.sum(c).alias(c) for c in (VIEW, FAV, CART, BUY, "total")),
     )
+    if only is not None:
+        per_key = per_key.join(only, list(keys), "left_semi")
     return per_key.select(
         *keys,
         VIEW,

@@ -113,14 +113,13 @@ def batch_lookup(log: DataFrame, requests: DataFrame) -> DataFrame:
     """All measures of the requested items and categories.
 
     ``requests`` has columns ``kind`` (``item`` or ``category``) and ``id``.
-    The requests restrict the finished measures; where they are small enough
-    to broadcast, Catalyst moves the semi join down to the scan, and where
-    not, the join sees one row per id and so has no hot key.
+    An id without rows in the log gives no row.
     """
 
     def measured(kind: str, key: str) -> DataFrame:
-        wanted = requests.where(F.col("kind") == kind).select(F.col("id").alias(key))
-        found = activity(log, key).join(wanted, key, "left_semi")
+        ids = F.col("id").try_cast(log.schema[key].dataType)
+        wanted = requests.where(F.col("kind") == kind).select(ids.alias(key))
+        found = activity(log, key, only=wanted)
         return found.select(
             F.lit(kind).alias("kind"),
             F.col(key).cast("long").alias("id"),

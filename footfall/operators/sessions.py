@@ -27,7 +27,8 @@ def _slot(gap_minutes: float, slot_seconds: float | None) -> Column:
     width = _gap(gap_minutes)
     if slot_seconds is not None:
         width = min(width, int(slot_seconds * _MICROS))
-    return F.floor(F.col("ts_us") / F.lit(width)).alias("slot")
+    instant = F.col("ts_us")
+    return (instant - F.pmod(instant, F.lit(width))).alias("slot")
 
 
 def _tie_break(log: DataFrame) -> list[str]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Columns used, with their types: a declared schema saves the footer-reading
@@ -20,7 +20,11 @@ _SCHEMAS = {
     "part": "p_partkey BIGINT, p_brand STRING",
 }
 
-_MICROS = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {})"
+
+
+def _since_epoch(unit: str, column: str) -> Column:
+    """Whole units from the epoch to a zone-less timestamp."""
+    return F.expr(f"timestampdiff({unit}, TIMESTAMP_NTZ'1970-01-01 00:00:00', {column})")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,15 +55,14 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(event_type)
     )
     item = F.get_json_object("props", "$.k").cast("int")
-    micros = F.expr(_MICROS.format("ts"))
     return table(spark, sf_dir, "events").select(
         "event_id",
         "user_id",
         item.alias("item_id"),
         F.floor(item / 10).cast("int").alias("category_id"),
         behavior.alias("behavior"),
-        F.floor(micros / 1000000).alias("timestamp"),
-        micros.alias("ts_us"),
+        _since_epoch("SECOND", "ts").alias("timestamp"),
+        _since_epoch("MICROSECOND", "ts").alias("ts_us"),
         F.to_date("ts").alias("date"),
         F.hour("ts").alias("hour"),
         "value",
@@ -81,13 +84,12 @@ def orders_log(
         .when(returned & opened, "buy")
         .otherwise("pv")
     )
-    micros = F.expr(_MICROS.format("l_shipdate"))
     log = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         F.col("l_partkey").alias("item_id"),
         behavior.alias("behavior"),
-        F.floor(micros / 1000000).alias("timestamp"),
-        micros.alias("ts_us"),
+        _since_epoch("SECOND", "l_shipdate").alias("timestamp"),
+        _since_epoch("MICROSECOND", "l_shipdate").alias("ts_us"),
         F.to_date("l_shipdate").alias("date"),
         F.hour("l_shipdate").alias("hour"),
     )

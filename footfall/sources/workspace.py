@@ -20,5 +20,4 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="footfall-")
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/footfall/{label}-{uuid.uuid4().hex}"
