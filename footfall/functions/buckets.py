@@ -9,19 +9,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _first_match(branches: Iterable[tuple[Column, Any]], otherwise: Any) -> Column:
-    (condition, value), *rest = branches
-    case = F.when(condition, F.lit(value))
-    for condition, value in rest:
-        case = case.when(condition, F.lit(value))
-    return case.otherwise(F.lit(otherwise))
+def _literal(value: Any) -> str:
+    return f"'{value}'" if isinstance(value, str) else str(value)
 
 
-def up_to(value: Column, bands: Iterable[tuple[float, Any]], beyond: Any) -> Column:
+def _bands(value: str, comparison: str, bands: Iterable[tuple[float, Any]], rest: Any) -> Column:
+    branches = " ".join(
+        f"WHEN {value} {comparison} {bound} THEN {_literal(out)}" for bound, out in bands
+    )
+    return F.expr(f"CASE {branches} ELSE {_literal(rest)} END")
+
+
+def up_to(value: str, bands: Iterable[tuple[float, Any]], beyond: Any) -> Column:
     """Result of the first band whose inclusive upper bound holds ``value``."""
-    return _first_match(((value <= bound, out) for bound, out in bands), beyond)
+    return _bands(value, "<=", bands, beyond)
 
 
-def at_least(value: Column, bands: Iterable[tuple[float, Any]], below: Any) -> Column:
+def at_least(value: str, bands: Iterable[tuple[float, Any]], below: Any) -> Column:
     """Result of the first band whose inclusive lower bound ``value`` reaches."""
-    return _first_match(((value >= bound, out) for bound, out in bands), below)
+    return _bands(value, ">=", bands, below)

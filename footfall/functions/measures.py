@@ -20,19 +20,21 @@ CART = "cart"
 FAV = "fav"
 BUY = "buy"
 BEHAVIORS = (VIEW, CART, FAV, BUY)
-INTEREST = (VIEW, CART, FAV)
 
 _BIT = {name: 1 << position for position, name in enumerate(BEHAVIORS)}
+_BIT_OF_ROW = "CASE behavior {} ELSE 0 END".format(
+    " ".join(f"WHEN '{name}' THEN {bit}" for name, bit in _BIT.items())
+)
 
 
-def rate(part: Column, whole: Column) -> Column:
+def rate(part: str, whole: str) -> Column:
     """Percentage with two decimals, 0.0 where there is nothing to divide by."""
-    return F.when(whole > 0, F.round(part / whole * 100, 2)).otherwise(F.lit(0.0))
+    return F.expr(f"CASE WHEN {whole} > 0 THEN round({part} / {whole} * 100, 2) ELSE 0D END")
 
 
 def rows_of(behavior: str) -> Column:
     """Number of rows with this behaviour."""
-    return F.count(F.when(F.col("behavior") == behavior, F.lit(1)))
+    return F.expr(f"count(CASE WHEN behavior = '{behavior}' THEN 1 END)")
 
 
 def seen_by_user(log: DataFrame, *keys: str) -> DataFrame:
@@ -41,15 +43,12 @@ def seen_by_user(log: DataFrame, *keys: str) -> DataFrame:
     One integer stands for all behaviours, so every consumer of this frame
     needs the same shuffled columns and Spark can reuse the exchange.
     """
-    bit = F.lit(0)
-    for name in reversed(BEHAVIORS):
-        bit = F.when(F.col("behavior") == name, F.lit(_BIT[name])).otherwise(bit)
-    return log.groupBy(*keys, "user_id").agg(F.bit_or(bit).alias("seen"))
+    return log.groupBy(*keys, "user_id").agg(F.expr(f"bit_or({_BIT_OF_ROW})").alias("seen"))
 
 
-def saw(*behaviors: str) -> Column:
-    """Whether the ``seen`` mask holds any of these behaviours."""
-    return F.col("seen").bitwiseAND(F.lit(sum(_BIT[b] for b in behaviors))) != 0
+def saw(*behaviors: str) -> str:
+    """Condition: the ``seen`` mask holds any of these behaviours."""
+    return f"(seen & {sum(_BIT[b] for b in behaviors)}) <> 0"
 
 
 def users() -> Column:
@@ -57,9 +56,9 @@ def users() -> Column:
     return F.count("user_id")
 
 
-def users_where(condition: Column) -> Column:
-    """Users that meet a condition, in a frame with one row per (group, user)."""
-    return F.count(F.when(condition, F.col("user_id")))
+def users_where(*conditions: str) -> Column:
+    """Users that meet all conditions, in a frame with one row per (group, user)."""
+    return F.expr(f"count(CASE WHEN {' AND '.join(conditions)} THEN user_id END)")
 
 
 def activity(log: DataFrame, *keys: str, only: DataFrame | None = None) -> DataFrame:
@@ -77,11 +76,10 @@ def activity(log: DataFrame, *keys: str, only: DataFrame | None = None) -> DataF
         *(rows_of(b).alias(b) for b in (VIEW, FAV, CART, BUY)),
         F.count(F.lit(1)).alias("total"),
     )
-    interested = F.col(VIEW) + F.col(CART) + F.col(FAV) > 0
     per_key = per_user.groupBy(*keys).agg(
-        users_where(F.col(VIEW) > 0).alias("pv_uv"),
-        users_where(interested).alias("interest_uv"),
-        users_where(F.col(BUY) > 0).alias("buy_uv"),
+        users_where(f"{VIEW} > 0").alias("pv_uv"),
+        users_where(f"{VIEW} + {CART} + {FAV} > 0").alias("interest_uv"),
+        users_where(f"{BUY} > 0").alias("buy_uv"),
         *(F.sum(c).alias(c) for c in (VIEW, FAV, CART, BUY, "total")),
     )
     if only is not None:
@@ -96,7 +94,7 @@ def activity(log: DataFrame, *keys: str, only: DataFrame | None = None) -> DataF
         "pv_uv",
         "interest_uv",
         "buy_uv",
-        rate(F.col("buy_uv"), F.col("interest_uv")).alias("cvr"),
+        rate("buy_uv", "interest_uv").alias("cvr"),
     )
 
 

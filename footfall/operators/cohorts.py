@@ -25,7 +25,7 @@ def user_days(log: DataFrame) -> DataFrame:
     The window sees at most one row per day and user, however many rows a
     user has in the log.
     """
-    days = log.where(F.col("user_id").isNotNull()).select("user_id", "date").distinct()
+    days = log.where("user_id IS NOT NULL").select("user_id", "date").distinct()
     return days.withColumn("first_date", F.min("date").over(Window.partitionBy("user_id")))
 
 
@@ -38,20 +38,21 @@ def retention(
     nobody returned from; ``flag_observable`` adds a column per N that tells
     the two apart.
     """
-    age = F.datediff("date", "first_date")
     cohorts = (
         user_days(log)
         .groupBy("first_date")
         .agg(
-            F.count_if(age == 0).alias("new_users"),
-            *(F.count_if(age == n).alias(f"retained_day{n}") for n in days),
+            *(
+                F.expr(f"count_if(datediff(date, first_date) = {n})").alias(name)
+                for n, name in [(0, "new_users"), *((n, f"retained_day{n}") for n in days)]
+            )
         )
     )
-    columns = [F.col("first_date"), F.col("new_users")]
+    columns = ["first_date", "new_users"]
     last_date = log.agg(F.max("date")).scalar() if flag_observable else None
     for n in days:
-        retained = F.col(f"retained_day{n}")
-        columns += [retained, rate(retained, F.col("new_users")).alias(f"retention_rate_day{n}")]
+        retained = f"retained_day{n}"
+        columns += [retained, rate(retained, "new_users").alias(f"retention_rate_day{n}")]
         if flag_observable:
             reached = F.date_add("first_date", n) <= last_date
             columns.append(reached.alias(f"observable_day{n}"))
@@ -65,14 +66,13 @@ def lifecycle(log: DataFrame) -> DataFrame:
         .groupBy("date")
         .agg(
             F.count(F.lit(1)).alias("total_users"),
-            F.count_if(F.col("date") == F.col("first_date")).alias("new_users"),
+            F.expr("count_if(date = first_date)").alias("new_users"),
         )
     )
-    total, new = F.col("total_users"), F.col("new_users")
     return per_date.select(
         "*",
-        (total - new).alias("returning_users"),
-        rate(new, total).alias("new_user_ratio"),
+        F.expr("total_users - new_users").alias("returning_users"),
+        rate("new_users", "total_users").alias("new_user_ratio"),
     ).orderBy("date")
 
 
@@ -82,20 +82,19 @@ def first_purchase_gap(log: DataFrame, split_negative: bool = False) -> DataFram
     Users that bought before their first view fall into the shortest
     non-zero band unless ``split_negative`` gives them their own.
     """
-    behavior = F.col("behavior")
     firsts = (
-        log.where(behavior.isin(VIEW, BUY) & F.col("user_id").isNotNull())
+        log.where(f"behavior IN ('{VIEW}', '{BUY}') AND user_id IS NOT NULL")
         .groupBy("user_id")
         .agg(
-            F.min(F.when(behavior == VIEW, F.col("date"))).alias("viewed"),
-            F.min(F.when(behavior == BUY, F.col("date"))).alias("bought"),
+            F.expr(f"min(CASE WHEN behavior = '{VIEW}' THEN date END)").alias("viewed"),
+            F.expr(f"min(CASE WHEN behavior = '{BUY}' THEN date END)").alias("bought"),
         )
-        .where(F.col("viewed").isNotNull() & F.col("bought").isNotNull())
+        .where("viewed IS NOT NULL AND bought IS NOT NULL")
     )
-    gap = F.datediff("bought", "viewed")
-    label = F.when(gap == 0, F.lit(_GAP_SAME_DAY))
+    gap = "datediff(bought, viewed)"
+    label = F.when(F.expr(f"{gap} = 0"), _GAP_SAME_DAY)
     if split_negative:
-        label = label.when(gap < 0, F.lit(_GAP_NEGATIVE))
+        label = label.when(F.expr(f"{gap} < 0"), _GAP_NEGATIVE)
     label = label.otherwise(up_to(gap, _GAP_BANDS, _GAP_BEYOND))
     return (
         firsts.groupBy(label.alias("gap_group"))
@@ -107,7 +106,7 @@ def first_purchase_gap(log: DataFrame, split_negative: bool = False) -> DataFram
 def active_days(log: DataFrame) -> DataFrame:
     """Users by number of distinct active dates."""
     per_user = log.groupBy("user_id").agg(F.count_distinct("date").alias("days"))
-    band = up_to(F.col("days"), _ACTIVE_BANDS, _ACTIVE_BEYOND)
+    band = up_to("days", _ACTIVE_BANDS, _ACTIVE_BEYOND)
     return (
         per_user.groupBy(band.alias("active_group"))
         .agg(F.count(F.lit(1)).alias("user_count"))

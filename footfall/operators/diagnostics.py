@@ -17,12 +17,10 @@ def purchases_without_view(log: DataFrame, *keys: str) -> DataFrame:
         rows_of(BUY).alias("buys"), rows_of(VIEW).alias("views")
     )
     totals = per_key.agg(
-        F.coalesce(F.sum("buys"), F.lit(0)).alias("purchases"),
-        F.coalesce(F.sum(F.when(F.col("views") == 0, F.col("buys"))), F.lit(0)).alias(
-            "without_view"
-        ),
+        F.expr("coalesce(sum(buys), 0)").alias("purchases"),
+        F.expr("coalesce(sum(CASE WHEN views = 0 THEN buys END), 0)").alias("without_view"),
     )
-    return totals.withColumn("share", rate(F.col("without_view"), F.col("purchases")))
+    return totals.withColumn("share", rate("without_view", "purchases"))
 
 
 def buyers_without_view(log: DataFrame) -> DataFrame:
@@ -32,11 +30,11 @@ def buyers_without_view(log: DataFrame) -> DataFrame:
         .groupBy("item_id")
         .agg(
             users_where(saw(BUY)).alias("buyers"),
-            users_where(saw(BUY) & ~saw(VIEW)).alias("without_view"),
+            users_where(saw(BUY), f"NOT {saw(VIEW)}").alias("without_view"),
         )
-        .where(F.col("buyers") > 0)
+        .where("buyers > 0")
     )
-    return per_item.withColumn("share", rate(F.col("without_view"), F.col("buyers")))
+    return per_item.withColumn("share", rate("without_view", "buyers"))
 
 
 def cvr_over(base: DataFrame, percent: float = 100.0) -> DataFrame:
@@ -49,4 +47,4 @@ def cvr_over(base: DataFrame, percent: float = 100.0) -> DataFrame:
 def behavior_level_cvr(log: DataFrame) -> DataFrame:
     """Buy rows over view rows."""
     counts = log.agg(rows_of(VIEW).alias("pv"), rows_of(BUY).alias("buy"))
-    return counts.withColumn("cvr", rate(F.col("buy"), F.col("pv")))
+    return counts.withColumn("cvr", rate("buy", "pv"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions import BUY, CART, FAV, VIEW, rate, saw, seen_by_user, users_where
@@ -17,11 +17,11 @@ def conversion_funnel_detail(log: DataFrame) -> DataFrame:
     A user passes a stage having done it and all stages before it at any time
     in the period.
     """
-    interested = saw(VIEW) & saw(CART, FAV)
+    interested = (saw(VIEW), saw(CART, FAV))
     passed = seen_by_user(log).agg(
         users_where(saw(VIEW)).alias("s1"),
-        users_where(interested).alias("s2"),
-        users_where(interested & saw(BUY)).alias("s3"),
+        users_where(*interested).alias("s2"),
+        users_where(*interested, saw(BUY)).alias("s3"),
     )
 
     def row(name: str, count: str, overall: Column, step: Column) -> Column:
@@ -32,12 +32,11 @@ def conversion_funnel_detail(log: DataFrame) -> DataFrame:
             step.alias("step_conversion_rate"),
         )
 
-    s1, s2, s3 = F.col("s1"), F.col("s2"), F.col("s3")
     first, second, third = _STAGES
     stages = F.array(
         row(first, "s1", F.lit(100.0), F.lit(100.0)),
-        row(second, "s2", rate(s2, s1), rate(s2, s1)),
-        row(third, "s3", rate(s3, s1), rate(s3, s2)),
+        row(second, "s2", rate("s2", "s1"), rate("s2", "s1")),
+        row(third, "s3", rate("s3", "s1"), rate("s3", "s2")),
     )
     return passed.select(F.inline(stages))
 
@@ -54,7 +53,7 @@ def behavior_distribution(log: DataFrame) -> DataFrame:
     behaviour code.
     """
     counts = log.groupBy("behavior").agg(F.count(F.lit(1)).alias("count"))
-    everything = F.sum("count").over(Window.partitionBy(F.lit(0)))
-    return counts.withColumn("percentage", rate(F.col("count"), everything)).orderBy(
+    everything = "sum(count) OVER (PARTITION BY 0)"
+    return counts.withColumn("percentage", rate("count", everything)).orderBy(
         F.desc("count"), "behavior"
     )

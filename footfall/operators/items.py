@@ -52,9 +52,9 @@ def cvr_base(log: DataFrame, key: str) -> DataFrame:
             *(users_where(saw(b)).alias(b) for b in (VIEW, FAV, CART, BUY)),
             users().alias("total_uv"),
         )
-        .withColumn("interest_uv", F.col(VIEW) + F.col(CART) + F.col(FAV))
+        .withColumn("interest_uv", F.expr(f"{VIEW} + {CART} + {FAV}"))
     )
-    return per_key.withColumn("pv_to_buy_rate", rate(F.col(BUY), F.col("interest_uv")))
+    return per_key.withColumn("pv_to_buy_rate", rate(BUY, "interest_uv"))
 
 
 def item_cvr_base(log: DataFrame, min_interest: int = ITEM_CONVERSION.min_interest) -> DataFrame:

@@ -46,23 +46,23 @@ def overview(log: DataFrame) -> DataFrame:
     """Rows, users, viewers, buyers and buyers over interested users."""
     per_user = log.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n"),
-        F.bool_or(F.col("behavior") == VIEW).alias("viewed"),
-        F.bool_or(F.col("behavior").isin(VIEW, CART, FAV)).alias("interested"),
-        F.bool_or(F.col("behavior") == BUY).alias("bought"),
+        F.expr(f"bool_or(behavior = '{VIEW}')").alias("viewed"),
+        F.expr(f"bool_or(behavior IN ('{VIEW}', '{CART}', '{FAV}'))").alias("interested"),
+        F.expr(f"bool_or(behavior = '{BUY}')").alias("bought"),
     )
     totals = per_user.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_behavior"),
         F.count("user_id").alias("uv"),
-        users_where(F.col("viewed")).alias("pv"),
-        users_where(F.col("bought")).alias("buy"),
-        users_where(F.col("interested")).alias("interested"),
+        users_where("viewed").alias("pv"),
+        users_where("bought").alias("buy"),
+        users_where("interested").alias("interested"),
     )
     return totals.select(
         "total_behavior",
         "uv",
         "pv",
         "buy",
-        rate(F.col("buy"), F.col("interested")).alias("cvr"),
+        rate("buy", "interested").alias("cvr"),
     )
 
 
@@ -105,7 +105,7 @@ def item_summary(log: DataFrame, item_id: int) -> DataFrame:
     return counts.select(
         F.lit(item_id).alias("item_id"),
         "uv",
-        rate(F.col("buy_uv"), F.col("interest_uv")).alias("cvr"),
+        rate("buy_uv", "interest_uv").alias("cvr"),
     )
 
 
@@ -135,14 +135,14 @@ def kpi_summary(daily: DataFrame, distribution: DataFrame) -> DataFrame:
     ``total_uv`` is the best day's users, not the users of the period.
     """
     bought = distribution.agg(
-        F.coalesce(F.max(F.when(F.col("behavior") == BUY, F.col("count"))), F.lit(0))
+        F.expr(f"coalesce(max(CASE WHEN behavior = '{BUY}' THEN count END), 0)")
     ).scalar()
     totals = daily.agg(
         F.sum("total_behavior").alias("total_records"),
         F.max("uv").alias("total_uv"),
         F.sum("pv").alias("total_pv"),
     ).withColumn("total_buy", bought)
-    return totals.withColumn("avg_cvr", rate(F.col("total_buy"), F.col("total_pv")))
+    return totals.withColumn("avg_cvr", rate("total_buy", "total_pv"))
 
 
 def behavior_share(distribution: DataFrame, behavior: str) -> DataFrame:

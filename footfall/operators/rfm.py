@@ -24,16 +24,12 @@ def rfm_detail(log: DataFrame, params: Rfm = RFM) -> DataFrame:
     )
     scored = buyers.select(
         "*",
-        up_to(F.col("recency"), params.recency_bands, params.recency_beyond).alias("r_score"),
-        up_to(F.col("frequency"), params.frequency_bands, params.frequency_beyond).alias(
-            "f_score"
-        ),
+        up_to("recency", params.recency_bands, params.recency_beyond).alias("r_score"),
+        up_to("frequency", params.frequency_bands, params.frequency_beyond).alias("f_score"),
     )
-    weighted = (
-        F.col("r_score") * params.recency_weight + F.col("f_score") * params.frequency_weight
-    )
-    return scored.withColumn("total_score", F.round(weighted, 2)).withColumn(
-        "user_segment", at_least(F.col("total_score"), params.segments, params.lowest_segment)
+    weighted = f"r_score * {params.recency_weight}D + f_score * {params.frequency_weight}D"
+    return scored.withColumn("total_score", F.expr(f"round({weighted}, 2)")).withColumn(
+        "user_segment", at_least("total_score", params.segments, params.lowest_segment)
     )
 
 

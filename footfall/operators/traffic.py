@@ -31,14 +31,14 @@ def hourly_cvr(log: DataFrame) -> DataFrame:
     per_hour = per_user.groupBy("hour").agg(
         F.sum("views").alias("pv_count"),
         F.sum("buys").alias("buy_count"),
-        users_where(F.col("views") > 0).alias("pv_uv"),
-        users_where(F.col("buys") > 0).alias("buy_uv"),
+        users_where("views > 0").alias("pv_uv"),
+        users_where("buys > 0").alias("buy_uv"),
         F.sum("n").alias("total_behavior"),
     )
     return per_hour.select(
         "*",
-        rate(F.col("buy_count"), F.col("pv_count")).alias("pv_to_buy_rate"),
-        rate(F.col("buy_uv"), F.col("pv_uv")).alias("uv_cvr"),
+        rate("buy_count", "pv_count").alias("pv_to_buy_rate"),
+        rate("buy_uv", "pv_uv").alias("uv_cvr"),
     ).orderBy("hour")
 
 
@@ -48,7 +48,7 @@ def weekday_vs_weekend(log: DataFrame) -> DataFrame:
     The log is first reduced to one row per (date, user), so the two distinct
     counts that follow multiply the reduced rows only.
     """
-    kind = F.when(F.dayofweek("date").isin(1, 7), F.lit("周末")).otherwise(F.lit("工作日"))
+    kind = F.expr("CASE WHEN dayofweek(date) IN (1, 7) THEN '周末' ELSE '工作日' END")
     per_day_user = log.groupBy("date", "user_id").agg(
         F.count(F.lit(1)).alias("n"), rows_of(VIEW).alias("views"), rows_of(BUY).alias("buys")
     )
@@ -59,7 +59,7 @@ def weekday_vs_weekend(log: DataFrame) -> DataFrame:
         F.sum("views").alias("pv"),
         F.sum("buys").alias("buy"),
     )
-    average = F.bround(F.col("total_behavior") / F.col("days"), 0).cast("long")
+    average = F.expr("CAST(bround(total_behavior / days, 0) AS BIGINT)")
     return per_kind.select(
         "type",
         "days",
@@ -68,26 +68,26 @@ def weekday_vs_weekend(log: DataFrame) -> DataFrame:
         "uv",
         "pv",
         "buy",
-        rate(F.col("buy"), F.col("pv")).alias("buy_rate"),
+        rate("buy", "pv").alias("buy_rate"),
     )
 
 
 def daily_funnel(log: DataFrame) -> DataFrame:
     """Strict funnel per date: viewed, also carted or favourited, also bought."""
-    interested = saw(VIEW) & saw(CART, FAV)
+    interested = (saw(VIEW), saw(CART, FAV))
     per_date = (
         seen_by_user(log, "date")
         .groupBy("date")
         .agg(
             users_where(saw(VIEW)).alias("pv_uv"),
-            users_where(interested).alias("interest_uv"),
-            users_where(interested & saw(BUY)).alias("buy_uv"),
+            users_where(*interested).alias("interest_uv"),
+            users_where(*interested, saw(BUY)).alias("buy_uv"),
         )
-        .where(F.col("pv_uv") > 0)
+        .where("pv_uv > 0")
     )
     return per_date.select(
         "*",
-        rate(F.col("interest_uv"), F.col("pv_uv")).alias("pv_to_interest_rate"),
-        rate(F.col("buy_uv"), F.col("interest_uv")).alias("interest_to_buy_rate"),
-        rate(F.col("buy_uv"), F.col("pv_uv")).alias("overall_cvr"),
+        rate("interest_uv", "pv_uv").alias("pv_to_interest_rate"),
+        rate("buy_uv", "interest_uv").alias("interest_to_buy_rate"),
+        rate("buy_uv", "pv_uv").alias("overall_cvr"),
     ).orderBy("date")

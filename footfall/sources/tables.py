@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Columns used, with their types: a declared schema saves the footer-reading
 # job that inference starts, and reads no column a query does not need.
@@ -21,10 +20,8 @@ _SCHEMAS = {
 }
 
 
-
-def _since_epoch(unit: str, column: str) -> Column:
-    """Whole units from the epoch to a zone-less timestamp."""
-    return F.expr(f"timestampdiff({unit}, TIMESTAMP_NTZ'1970-01-01 00:00:00', {column})")
+_SECONDS = "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {})"
+_MICROS = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {})"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,9 +31,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def part_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item and category of every part; the category ends the brand's name."""
-    digits = F.regexp_extract("p_brand", "([0-9]+)$", 1)
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("item_id"), digits.cast("int").alias("category_id")
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS item_id", "CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS INT) AS category_id"
     )
 
 
@@ -46,25 +42,17 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     Event types without a counterpart stay under their own name, as unknown
     behaviours do in a real log: they count in totals but in no measure.
     """
-    event_type = F.col("event_type")
-    behavior = (
-        F.when(event_type == "view", "pv")
-        .when(event_type == "click", "cart")
-        .when(event_type == "signup", "fav")
-        .when(event_type == "purchase", "buy")
-        .otherwise(event_type)
-    )
-    item = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").selectExpr(
         "event_id",
         "user_id",
-        item.alias("item_id"),
-        F.floor(item / 10).cast("int").alias("category_id"),
-        behavior.alias("behavior"),
-        _since_epoch("SECOND", "ts").alias("timestamp"),
-        _since_epoch("MICROSECOND", "ts").alias("ts_us"),
-        F.to_date("ts").alias("date"),
-        F.hour("ts").alias("hour"),
+        "CAST(get_json_object(props, '$.k') AS INT) AS item_id",
+        "CAST(CAST(get_json_object(props, '$.k') AS INT) DIV 10 AS INT) AS category_id",
+        """CASE event_type WHEN 'view' THEN 'pv' WHEN 'click' THEN 'cart'
+           WHEN 'signup' THEN 'fav' WHEN 'purchase' THEN 'buy' ELSE event_type END AS behavior""",
+        f"{_SECONDS.format('ts')} AS timestamp",
+        f"{_MICROS.format('ts')} AS ts_us",
+        "to_date(ts) AS date",
+        "hour(ts) AS hour",
         "value",
     )
 
@@ -77,25 +65,20 @@ def orders_log(
     The user comes from ``orders`` and the category from ``part``.  Ask only
     for what a query needs: a dimension that is left out costs no join.
     """
-    returned, opened = F.col("l_returnflag") == "R", F.col("l_linestatus") == "O"
-    behavior = (
-        F.when(opened & (F.col("l_returnflag") == "N"), "cart")
-        .when(returned & (F.col("l_linestatus") == "F"), "fav")
-        .when(returned & opened, "buy")
-        .otherwise("pv")
-    )
-    log = table(spark, sf_dir, "lineitem").select(
+    log = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey",
-        F.col("l_partkey").alias("item_id"),
-        behavior.alias("behavior"),
-        _since_epoch("SECOND", "l_shipdate").alias("timestamp"),
-        _since_epoch("MICROSECOND", "l_shipdate").alias("ts_us"),
-        F.to_date("l_shipdate").alias("date"),
-        F.hour("l_shipdate").alias("hour"),
+        "l_partkey AS item_id",
+        """CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'cart'
+           WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'fav'
+           WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 'buy' ELSE 'pv' END AS behavior""",
+        f"{_SECONDS.format('l_shipdate')} AS timestamp",
+        f"{_MICROS.format('l_shipdate')} AS ts_us",
+        "to_date(l_shipdate) AS date",
+        "hour(l_shipdate) AS hour",
     )
     if user:
-        orders = table(spark, sf_dir, "orders").select(
-            F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id")
+        orders = table(spark, sf_dir, "orders").selectExpr(
+            "o_orderkey AS l_orderkey", "o_custkey AS user_id"
         )
         log = log.join(orders, "l_orderkey")
     if category:
