@@ -1,20 +1,30 @@
 """Sessions and the behaviour paths inside them.
 
 A session is a maximal run of one user's rows with no idle time above the
-gap.  No operator here puts all rows of a user into one task.  Time is cut
-into slots no wider than the gap, so rows of one user and slot always share a
-session, and what has to be ordered per user afterwards grows with the number
-of slots in the log's period, not with the number of rows.
+gap.  Rows have to be put in order for it, but no operator here puts all rows
+of a busy user into one task.  For busy users time is cut into slots no wider
+than the gap, so rows of one user and slot always share a session, and what is
+ordered per user afterwards grows with the number of slots in the log's
+period, not with the number of rows.  Results do not depend on who counts as
+busy.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.params import SESSION_GAP_MINUTES
 
 SLOT_SECONDS = 300
+# A user is busy with more rows than both limits; the share bounds the number
+# of busy users by its inverse, so their list is always small enough to
+# broadcast.
+BUSY_SHARE = 1e-5
+BUSY_ROWS = 1_000_000
+
 _MICROS = 1_000_000
 _ARROW = " → "
 
@@ -23,28 +33,40 @@ def _gap(minutes: float) -> int:
     return int(minutes * 60 * _MICROS)
 
 
-def _slot(gap_minutes: float, slot_seconds: float | None) -> Column:
+def _slot(gap_minutes: float, slot_seconds: float | None = None) -> Column:
+    """Start of the row's slot; without a width, slots are as wide as the gap."""
     width = _gap(gap_minutes)
     if slot_seconds is not None:
         width = min(width, int(slot_seconds * _MICROS))
-    instant = F.col("ts_us")
-    return (instant - F.pmod(instant, F.lit(width))).alias("slot")
+    return F.expr(f"ts_us - pmod(ts_us, {width}L)").alias("slot")
 
 
-def _tie_break(log: DataFrame) -> list[str]:
-    """Columns that settle the order of rows of one user at one instant."""
+def _split_busy(log: DataFrame, busy_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ordinary users and those of busy users.
+
+    Where nobody is busy, adaptive execution drops the second part.
+    """
+    sizes = log.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    limit = sizes.agg(F.expr(f"greatest(sum(n) * {BUSY_SHARE}D, {busy_rows}D)")).scalar()
+    busy = sizes.where(F.col("n") > limit).select(F.col("user_id").alias("busy_user"))
+    same = F.col("user_id").eqNullSafe(F.col("busy_user"))
+    return tuple(log.join(F.broadcast(busy), same, how) for how in ("left_anti", "left_semi"))
+
+
+def _order(log: DataFrame) -> list[str]:
+    """Order of a user's rows: by time, then by id or else by all columns."""
     if "event_id" in log.columns:
-        return ["event_id"]
-    return ["behavior", "item_id", "category_id"]
+        return ["ts_us", "event_id"]
+    return ["ts_us", "behavior", "item_id", "category_id"]
 
 
-def _numbered(spans: DataFrame, gap_minutes: float) -> DataFrame:
-    """Number the sessions of each user over spans of activity.
+def _numbered(spans: DataFrame, gap_minutes: float, *order: str) -> DataFrame:
+    """Number the sessions of each user over spans of activity in time order.
 
     A span opens a session when it starts more than the gap after everything
     before it has ended.
     """
-    in_time = Window.partitionBy("user_id").orderBy("slot", "first_us", "last_us")
+    in_time = Window.partitionBy("user_id").orderBy(*(order or ("slot", "first_us", "last_us")))
     earlier = in_time.rowsBetween(Window.unboundedPreceding, -1)
     idle = F.col("first_us") - F.max("last_us").over(earlier)
     opens = F.when(idle.isNull() | (idle > _gap(gap_minutes)), 1).otherwise(0)
@@ -69,22 +91,29 @@ def _session_id() -> Column:
 def sessionize(
     log: DataFrame,
     gap_minutes: float = SESSION_GAP_MINUTES,
-    slot_seconds: float | None = SLOT_SECONDS,
+    slot_seconds: float = SLOT_SECONDS,
+    busy_rows: int = BUSY_ROWS,
 ) -> DataFrame:
     """The log with ``session_id`` = user and running session number.
 
-    Sessions are numbered on one span per (user, slot) and joined back to the
-    rows on both columns.
+    Ordinary users are numbered row by row.  Busy users are numbered on one
+    span per slot, which is joined back to the rows on user and slot.
     """
+    ordinary, busy = _split_busy(log, busy_rows)
+    columns = [*log.columns, _session_id().alias("session_id")]
+
+    single = ordinary.select("*", *(F.col("ts_us").alias(c) for c in ("first_us", "last_us")))
+    by_row = _numbered(single, gap_minutes, *_order(log)).select(*columns)
+
     slot = _slot(gap_minutes, slot_seconds)
-    numbered = _numbered(_spans(log, slot), gap_minutes).select(
+    numbered = _numbered(_spans(busy, slot), gap_minutes).select(
         F.col("user_id").alias("span_user"), F.col("slot").alias("span_slot"), "session_no"
     )
-    rows = log.select("*", slot)
     same_span = F.col("user_id").eqNullSafe(F.col("span_user")) & (
         F.col("slot") == F.col("span_slot")
     )
-    return rows.join(numbered, same_span).select(*log.columns, _session_id().alias("session_id"))
+    by_span = busy.select("*", slot).join(numbered, same_span).select(*columns)
+    return by_row.unionByName(by_span)
 
 
 def session_rollup(log: DataFrame, gap_minutes: float = SESSION_GAP_MINUTES) -> DataFrame:
@@ -93,7 +122,7 @@ def session_rollup(log: DataFrame, gap_minutes: float = SESSION_GAP_MINUTES) ->
     Only spans per (user, slot, behaviour) are shuffled; the rows themselves
     are combined on the map side.
     """
-    spans = _spans(log, _slot(gap_minutes, None), "behavior")
+    spans = _spans(log, _slot(gap_minutes), "behavior")
     return (
         _numbered(spans, gap_minutes)
         .groupBy("user_id", "session_no")
@@ -124,57 +153,60 @@ def session_lengths(rollup: DataFrame) -> DataFrame:
     )
 
 
+def _walks(
+    rows: DataFrame, steps: int, gap_minutes: float, order: list[str], *keys: str
+) -> DataFrame:
+    """Rows with the ``steps - 1`` behaviours before them in the same session."""
+    window = Window.partitionBy(*keys).orderBy(*order)
+    times = [F.col("ts_us"), *(F.lag("ts_us", i).over(window) for i in range(1, steps))]
+    idle = F.greatest(*(later - earlier for later, earlier in zip(times, times[1:])), F.lit(0))
+    back = [f"back{i}" for i in range(steps - 1, 0, -1)]
+    walked = rows.select(
+        "*",
+        *(F.lag("behavior", i).over(window).alias(f"back{i}") for i in range(1, steps)),
+        times[-1].isNotNull().alias("complete"),
+        idle.alias("idle"),
+    )
+    known = " AND ".join(f"{column} IS NOT NULL" for column in back)
+    together = walked.where(f"complete AND idle <= {_gap(gap_minutes)} AND {known}")
+    return together.withColumn("path", F.concat_ws(_ARROW, *back, "behavior"))
+
+
 def behavior_paths(
     log: DataFrame,
     steps: int = 2,
     gap_minutes: float = SESSION_GAP_MINUTES,
-    slot_seconds: float | None = SLOT_SECONDS,
+    slot_seconds: float = SLOT_SECONDS,
+    busy_rows: int = BUSY_ROWS,
     path: str = "path_segment",
     count: str = "path_count",
 ) -> DataFrame:
     """Counts of ``steps`` consecutive behaviours inside a session.
 
-    Rows are ordered within (user, slot).  From the ``steps``-th row of a slot
-    on, the whole path lies in the slot.  Paths that reach back over a slot
-    boundary are completed in a second pass, which per slot sees only the
-    first and last ``steps - 1`` rows.
+    Busy users are walked slot by slot.  The paths that reach back over a slot
+    boundary are walked on the slots' first and last ``steps - 1`` rows alone,
+    which hold all rows such a path can touch.
     """
-    back = range(steps - 1, 0, -1)
-    order = ["ts_us", *_tie_break(log)]
-    rows = log.select(
-        "user_id", _slot(gap_minutes, slot_seconds), *dict.fromkeys([*order, "behavior"])
-    )
+    order = _order(log)
+    rows = log.select("user_id", *dict.fromkeys([*order, "behavior"]))
+    ordinary, busy = _split_busy(rows, busy_rows)
 
     in_slot = Window.partitionBy("user_id", "slot").orderBy(*order)
-    nth = F.row_number().over(in_slot)
-    near_end = F.lead("ts_us", steps - 1).over(in_slot).isNull()
-    placed = rows.select("*", nth.alias("nth"), near_end.alias("near_end"))
-
-    def previous(window: Window) -> list[Column]:
-        return [F.lag("behavior", i).over(window).alias(f"back{i}") for i in back]
-
-    inside = placed.select("behavior", "nth", *previous(in_slot)).where(F.col("nth") >= steps)
-
-    edges = placed.where((F.col("nth") < steps) | F.col("near_end"))
-    by_user = Window.partitionBy("user_id").orderBy(*order)
-    idle = F.col("ts_us") - F.lag("ts_us", 1).over(by_user)
-    breaks = F.when(idle.isNull() | (idle > _gap(gap_minutes)), 1).otherwise(0)
-    recent = by_user.rowsBetween(2 - steps, Window.currentRow)
-    across = (
-        edges.select("*", *previous(by_user), breaks.alias("breaks"))
-        .withColumn("recent_breaks", F.sum("breaks").over(recent))
-        .where((F.col("nth") < steps) & (F.col("recent_breaks") == 0))
+    slotted = busy.select("*", _slot(gap_minutes, slot_seconds))
+    edges = slotted.select(
+        "*",
+        F.row_number().over(in_slot).alias("nth"),
+        F.lead("ts_us", steps - 1).over(in_slot).isNull().alias("near_end"),
+    ).where(f"nth < {steps} OR near_end")
+
+    parts = (
+        _walks(ordinary, steps, gap_minutes, order, "user_id"),
+        _walks(slotted, steps, gap_minutes, order, "user_id", "slot"),
+        _walks(edges, steps, gap_minutes, order, "user_id").where(f"nth < {steps}"),
     )
-
-    earlier = [f"back{i}" for i in back]
-    complete = F.lit(True)
-    for column in earlier:
-        complete = complete & F.col(column).isNotNull()
-    walked = [part.where(complete).select(*earlier, "behavior") for part in (inside, across)]
+    walked = reduce(DataFrame.unionAll, (part.select("path") for part in parts))
     return (
-        walked[0]
-        .unionAll(walked[1])
-        .groupBy(F.concat_ws(_ARROW, *earlier, "behavior").alias(path))
+        walked.groupBy(F.col("path").alias(path))
         .agg(F.count(F.lit(1)).alias(count))
         .orderBy(F.desc(count), path)
     )

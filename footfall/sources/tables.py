@@ -20,8 +20,9 @@ _SCHEMAS = {
 }
 
 
-_SECONDS = "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {})"
-_MICROS = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {})"
+# Epoch time of a zone-less timestamp, whatever the session time zone is.
+_SECONDS = "unix_date(to_date({0})) * 86400L + hour({0}) * 3600 + minute({0}) * 60 + second({0})"
+_MICROS = f"({_SECONDS}) * 1000000 + CAST(extract(SECOND FROM {{0}}) * 1000000 AS BIGINT) % 1000000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -67,7 +67,8 @@ def test_dimensions_not_asked_for_cost_no_join(spark, sf_dir):
 def test_shared_rollup_is_shuffled_once(spark, sf_dir):
     log = orders_log(spark, sf_dir, category=False)
     assert "ReusedExchange" in plan_of(items.item_low_cvr(items.item_cvr_base(log)), run=True)
-    assert "ReusedExchange" in plan_of(sessions.behavior_paths(events_log(spark, sf_dir)), run=True)
+    busy = sessions.behavior_paths(events_log(spark, sf_dir), busy_rows=0)
+    assert "ReusedExchange" in plan_of(busy, run=True)
 
 
 def test_top_items_per_category_are_cut_before_the_shuffle(spark, sf_dir):
@@ -103,15 +104,31 @@ def test_segment_profiles_join_rolled_up_users(spark, sf_dir, no_broadcast):
     assert left.index("Aggregate [user_id") < left.index("Relation")
 
 
-def test_rows_of_one_user_are_never_gathered(spark, sf_dir):
-    """What is shuffled by user alone is rolled up or cut to slot edges first."""
+def _sources_of_user_shuffles(frame):
+    """What feeds each shuffle by user alone, down to the scan."""
+    parts = re.split(r"Exchange hashpartitioning\(user_id#\w+, \d+\)", plan_of(frame))[1:]
+    return [part[: part.index("FileScan")] for part in parts]
+
+
+def test_rows_of_a_busy_user_are_never_gathered(spark, sf_dir):
+    """Shuffles by user alone see rollups, slot edges or ordinary users only."""
     log = events_log(spark, sf_dir)
-    by_user_alone = re.compile(r"Exchange hashpartitioning\(user_id#\w+, \d+\)")
-    below = by_user_alone.split(plan_of(sessions.session_rollup(log)))[1]
-    assert below.index("HashAggregate") < below.index("Exchange") < below.index("FileScan")
-    for steps in (2, 3):
-        below = by_user_alone.split(plan_of(sessions.behavior_paths(log, steps)))[1]
-        assert below.index("Filter ((nth") < below.index("Exchange") < below.index("FileScan")
+    for frame in (
+        sessions.session_rollup(log),
+        sessions.sessionize(log),
+        sessions.behavior_paths(log, 2),
+        sessions.behavior_paths(log, 3),
+    ):
+        sources = _sources_of_user_shuffles(frame)
+        assert sources
+        for source in sources:
+            assert "HashAggregate" in source or "Filter ((nth" in source or "LeftAnti" in source
+
+
+def test_without_busy_users_one_window_pass_is_left(spark, sf_dir):
+    plan = plan_of(sessions.behavior_paths(events_log(spark, sf_dir)), run=True)
+    assert "Join" not in plan and "Union" not in plan
+    assert plan.count("Window") == 1
 
 
 def test_one_busy_user_leaves_few_rows_to_order(spark):
@@ -120,5 +137,6 @@ def test_one_busy_user_leaves_few_rows_to_order(spark):
         "id AS event_id", "1L AS user_id", "id * 18000 AS ts_us", "'pv' AS behavior"
     )
     assert rows.groupBy("user_id", sessions._slot(30, 300)).count().count() == 12
-    assert [tuple(r) for r in sessions.behavior_paths(rows).collect()] == [("pv → pv", 199999)]
+    paths = sessions.behavior_paths(rows, busy_rows=1000)
+    assert [tuple(r) for r in paths.collect()] == [("pv → pv", 199999)]
     assert [tuple(r) for r in sessions.session_rollup(rows).collect()] == [("1_1", 200000, 1)]

@@ -13,7 +13,8 @@ MICROS = 1_000_000
 
 @pytest.mark.parametrize("idle, expected", [(1800, 1), (1801, 2), (1800.5, 2), (1799.9, 1)])
 @pytest.mark.parametrize("start", [0, 7, 1799])
-def test_gap_is_exclusive(spark, idle, expected, start):
+@pytest.mark.parametrize("busy_rows", [0, 100])
+def test_gap_is_exclusive(spark, idle, expected, start, busy_rows):
     log = visits(spark, (1, "pv", start), (1, "buy", start + int(idle))).withColumn(
         "ts_us",
         F.when(
@@ -22,8 +23,9 @@ def test_gap_is_exclusive(spark, idle, expected, start):
     )
     stats = dict(rows_of(sessions.session_stats(sessions.session_rollup(log))))
     assert stats["total_sessions"] == expected
-    assert sessions.sessionize(log).select("session_id").distinct().count() == expected
-    assert sessions.behavior_paths(log).count() == 2 - expected
+    labelled = sessions.sessionize(log, busy_rows=busy_rows)
+    assert labelled.select("session_id").distinct().count() == expected
+    assert sessions.behavior_paths(log, busy_rows=busy_rows).count() == 2 - expected
 
 
 def test_rollup_and_stats(spark):
@@ -56,11 +58,13 @@ def test_equal_times_are_ordered_by_the_tie_break(spark):
     assert rows_of(sessions.behavior_paths_3step(by_id)) == [("pv → buy → cart", 1)]
 
 
-def test_users_without_id_keep_their_rows(spark):
+@pytest.mark.parametrize("busy_rows", [0, 1, 100])
+def test_users_without_id_keep_their_rows(spark, busy_rows):
     log = visits(spark, (None, "pv", 0), (None, "buy", 10), (3, "pv", 0))
-    labelled = sessions.sessionize(log)
+    labelled = sessions.sessionize(log, busy_rows=busy_rows)
     assert labelled.count() == 3
     assert {r.session_id for r in labelled.collect()} == {"1", "3_1"}
+    assert rows_of(sessions.behavior_paths(log, busy_rows=busy_rows)) == [("pv → buy", 1)]
 
 
 def _random_events(seed):
@@ -81,8 +85,14 @@ def _random_events(seed):
     return [(n, user, ts, rng.choice(names)) for n, (user, ts) in enumerate(events)]
 
 
-@pytest.mark.parametrize("seed, slot_seconds", [(1, 300), (2, 1), (3, 100000), (4, 60)])
-def test_equal_to_a_plain_walk_over_each_user(spark, seed, slot_seconds):
+EVERYONE, SOME, NOBODY = 0, 100, 10**9
+
+
+@pytest.mark.parametrize(
+    "seed, slot_seconds, busy_rows",
+    [(1, 300, EVERYONE), (2, 1, SOME), (3, 100000, SOME), (4, 60, EVERYONE), (5, 300, NOBODY)],
+)
+def test_equal_to_a_plain_walk_over_each_user(spark, seed, slot_seconds, busy_rows):
     events = _random_events(seed)
     log = spark.createDataFrame(
         events, "event_id long, user_id long, ts_us long, behavior string"
@@ -94,7 +104,7 @@ def test_equal_to_a_plain_walk_over_each_user(spark, seed, slot_seconds):
         for (user, number), walk in walks.items()
         for event_id, _ in walk
     }
-    labelled = sessions.sessionize(log, slot_seconds=slot_seconds)
+    labelled = sessions.sessionize(log, slot_seconds=slot_seconds, busy_rows=busy_rows)
     assert {r.event_id: r.session_id for r in labelled.collect()} == labels
     assert labelled.columns == [*log.columns, "session_id"]
 
@@ -104,5 +114,7 @@ def test_equal_to_a_plain_walk_over_each_user(spark, seed, slot_seconds):
         for (user, number), walk in walks.items()
     }
     for steps in (2, 3, 4):
-        ours = sessions.behavior_paths(log, steps, slot_seconds=slot_seconds)
+        ours = sessions.behavior_paths(
+            log, steps, slot_seconds=slot_seconds, busy_rows=busy_rows
+        )
         assert dict(rows_of(ours)) == dict(paths_by_hand(walks, steps))
