@@ -9,6 +9,8 @@ from footfall.functions.measures import (
     VIEW,
     activity,
     rate,
+    rollup,
+    rows,
     rows_of,
     saw,
     seen_by_user,
@@ -26,6 +28,8 @@ __all__ = [
     "activity",
     "at_least",
     "rate",
+    "rollup",
+    "rows",
     "rows_of",
     "saw",
     "seen_by_user",

@@ -21,6 +21,8 @@ FAV = "fav"
 BUY = "buy"
 BEHAVIORS = (VIEW, CART, FAV, BUY)
 
+ROWS = "n_rows"  # in a rollup of the log: how many log rows a row stands for
+
 _BIT = {name: 1 << position for position, name in enumerate(BEHAVIORS)}
 _BIT_OF_ROW = "CASE behavior {} ELSE 0 END".format(
     " ".join(f"WHEN '{name}' THEN {bit}" for name, bit in _BIT.items())
@@ -32,11 +34,26 @@ def rate(part: str, whole: str) -> Column:
     return F.expr(f"CASE WHEN {whole} > 0 THEN round({part} / {whole} * 100, 2) ELSE 0D END")
 
 
-def rows_of(behavior: str) -> Column:
-    """Number of rows with this behaviour."""
+def rows(log: DataFrame) -> Column:
+    """Number of log rows; in a rollup of the log, of the rows it stands for."""
+    return F.expr(f"coalesce(sum({ROWS}), 0)") if ROWS in log.columns else F.expr("count(1)")
+
+
+def rows_of(log: DataFrame, behavior: str) -> Column:
+    """Number of log rows with this behaviour."""
+    if ROWS in log.columns:
+        return F.expr(f"coalesce(sum(CASE WHEN behavior = '{behavior}' THEN {ROWS} END), 0)")
     return F.expr(f"count(CASE WHEN behavior = '{behavior}' THEN 1 END)")
 
 
+def rollup(log: DataFrame, *keys: str) -> DataFrame:
+    """The log reduced to one row per distinct keys, with the rows it stands for.
+
+    Operators that use no other column give the same result on the rollup.
+    """
+    return log.groupBy(*keys).agg(rows(log).alias(ROWS))
+
+
 def seen_by_user(log: DataFrame, *keys: str) -> DataFrame:
     """One row per (keys, user) with the set of behaviours seen, as a bit mask.
 
@@ -73,8 +90,8 @@ def activity(log: DataFrame, *keys: str, only: DataFrame | None = None) -> DataF
     key and so has no hot key.
     """
     per_user = log.groupBy(*keys, "user_id").agg(
-        *(rows_of(b).alias(b) for b in (VIEW, FAV, CART, BUY)),
-        F.count(F.lit(1)).alias("total"),
+        *(rows_of(log, b).alias(b) for b in (VIEW, FAV, CART, BUY)),
+        rows(log).alias("total"),
     )
     per_key = per_user.groupBy(*keys).agg(
         users_where(f"{VIEW} > 0").alias("pv_uv"),

@@ -6,32 +6,43 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from footfall.functions import rollup
 from footfall.operators import cleaning, cohorts, funnels, items, rfm, sessions, traffic
 from footfall.params import RANGE_END, RANGE_START
 from footfall.sources import read_log, save, write_clean, write_rfm
 
 Analysis = Callable[[DataFrame], DataFrame]
 
-ANALYSES: dict[str, Analysis] = {
-    "daily_uv_pv": traffic.daily_uv_pv,
-    "retention_rate": cohorts.retention,
+# Need every row of the log and its time.
+ROW_ANALYSES: dict[str, Analysis] = {
     "session_stats": lambda log: sessions.session_stats(sessions.session_rollup(log)),
     "behavior_paths": sessions.behavior_paths,
     "behavior_paths_3step": sessions.behavior_paths_3step,
+}
+
+# Give the same result on the log rolled up to these columns.
+USER_KEYS = ("user_id", "date", "hour", "behavior")
+USER_ANALYSES: dict[str, Analysis] = {
+    "daily_uv_pv": traffic.daily_uv_pv,
+    "retention_rate": cohorts.retention,
     "user_lifecycle": cohorts.lifecycle,
     "first_purchase_gap": cohorts.first_purchase_gap,
     "active_days_distribution": cohorts.active_days,
     "hourly_cvr": traffic.hourly_cvr,
     "weekday_vs_weekend": traffic.weekday_vs_weekend,
     "daily_funnel_trend": traffic.daily_funnel,
+    "conversion_funnel": funnels.conversion_funnel,
+    "conversion_funnel_detail": funnels.conversion_funnel_detail,
+    "behavior_distribution": funnels.behavior_distribution,
+}
+
+ITEM_KEYS = ("category_id", "item_id", "user_id", "behavior")
+ITEM_ANALYSES: dict[str, Analysis] = {
     "item_hot_rank": items.item_hot_rank,
     "category_hot_rank": items.category_hot_rank,
     "item_cvr_top": lambda log: items.item_cvr_top(items.item_cvr_base(log)),
     "item_low_cvr": lambda log: items.item_low_cvr(items.item_cvr_base(log)),
     "category_cvr": items.category_cvr,
-    "conversion_funnel": funnels.conversion_funnel,
-    "conversion_funnel_detail": funnels.conversion_funnel_detail,
-    "behavior_distribution": funnels.behavior_distribution,
 }
 
 # Computed from the stored RFM table, which is written once for all of them.
@@ -40,6 +51,8 @@ SEGMENT_ANALYSES: dict[str, Analysis] = {
     "rfm_score_distribution": rfm.rfm_scores,
 }
 
+ANALYSES = {*ROW_ANALYSES, *USER_ANALYSES, *ITEM_ANALYSES, *SEGMENT_ANALYSES}
+
 EXPORTS: dict[str, Analysis] = {
     "item_details": items.item_details,
     "category_details": items.category_details,
@@ -54,25 +67,45 @@ def clean_log(
     write_clean(cleaning.clean(read_log(spark, raw), start, end), clean)
 
 
+def _stored(frame: DataFrame, path: str) -> DataFrame:
+    """Write a frame that several analyses share and read it back."""
+    save(frame, path, fmt="parquet")
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def _save_all(analyses: dict[str, Analysis], log: DataFrame, output: str) -> None:
+    for name, analysis in analyses.items():
+        save(analysis(log), f"{output}/{name}")
+
+
 def analyse(log: DataFrame, output: str, only: Iterable[str] | None = None) -> None:
-    """Save the analyses of a log, each under its name below ``output``."""
-    wanted = set(only) if only is not None else {*ANALYSES, *SEGMENT_ANALYSES}
-    unknown = wanted - {*ANALYSES, *SEGMENT_ANALYSES}
-    if unknown:
-        raise ValueError(f"no such analysis: {', '.join(sorted(unknown))}")
-    for name, analysis in ANALYSES.items():
-        if name in wanted:
-            save(analysis(log), f"{output}/{name}")
-    if wanted & set(SEGMENT_ANALYSES):
-        stored = f"{output}/rfm_detail"
-        write_rfm(rfm.rfm_detail(log), stored)
-        detail = log.sparkSession.read.parquet(stored)
-        for name, analysis in SEGMENT_ANALYSES.items():
-            if name in wanted:
-                save(analysis(detail), f"{output}/{name}")
+    """Save the analyses of a log, each under its name below ``output``.
+
+    Analyses that need the same few columns share one stored rollup of the
+    log instead of scanning and shuffling all of it again each time.
+    """
+    wanted = ANALYSES if only is None else set(only)
+    if wanted - ANALYSES:
+        raise ValueError(f"no such analysis: {', '.join(sorted(wanted - ANALYSES))}")
+
+    def chosen(analyses: dict[str, Analysis]) -> dict[str, Analysis]:
+        return {name: analysis for name, analysis in analyses.items() if name in wanted}
+
+    _save_all(chosen(ROW_ANALYSES), log, output)
+    if chosen(USER_ANALYSES) or chosen(SEGMENT_ANALYSES):
+        by_user = _stored(rollup(log, *USER_KEYS), f"{output}/rollups/user")
+        _save_all(chosen(USER_ANALYSES), by_user, output)
+        if chosen(SEGMENT_ANALYSES):
+            stored = f"{output}/rfm_detail"
+            write_rfm(rfm.rfm_detail(by_user), stored)
+            detail = log.sparkSession.read.parquet(stored)
+            _save_all(chosen(SEGMENT_ANALYSES), detail, output)
+    if chosen(ITEM_ANALYSES):
+        by_item = _stored(rollup(log, *ITEM_KEYS), f"{output}/rollups/item")
+        _save_all(chosen(ITEM_ANALYSES), by_item, output)
 
 
 def export(log: DataFrame, output: str) -> None:
     """Save the lookup tables of items and categories."""
-    for name, table in EXPORTS.items():
-        save(table(log), f"{output}/{name}")
+    by_item = _stored(rollup(log, *ITEM_KEYS), f"{output}/rollups/item")
+    _save_all(EXPORTS, by_item, output)

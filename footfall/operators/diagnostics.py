@@ -14,7 +14,7 @@ def purchases_without_view(log: DataFrame, *keys: str) -> DataFrame:
     One rollup per key set answers it: buys count where the set has no view.
     """
     per_key = log.groupBy(*(keys or ("user_id", "date"))).agg(
-        rows_of(BUY).alias("buys"), rows_of(VIEW).alias("views")
+        rows_of(log, BUY).alias("buys"), rows_of(log, VIEW).alias("views")
     )
     totals = per_key.agg(
         F.expr("coalesce(sum(buys), 0)").alias("purchases"),
@@ -46,5 +46,5 @@ def cvr_over(base: DataFrame, percent: float = 100.0) -> DataFrame:
 
 def behavior_level_cvr(log: DataFrame) -> DataFrame:
     """Buy rows over view rows."""
-    counts = log.agg(rows_of(VIEW).alias("pv"), rows_of(BUY).alias("buy"))
+    counts = log.agg(rows_of(log, VIEW).alias("pv"), rows_of(log, BUY).alias("buy"))
     return counts.withColumn("cvr", rate("buy", "pv"))

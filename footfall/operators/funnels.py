@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions import BUY, CART, FAV, VIEW, rate, saw, seen_by_user, users_where
+from footfall.functions import BUY, CART, FAV, VIEW, rate, rows, saw, seen_by_user, users_where
 
 # The stage names.
 _STAGES = ("浏览(pv)", "加购/收藏(cart+fav)", "购买(buy)")
@@ -52,7 +52,7 @@ def behavior_distribution(log: DataFrame) -> DataFrame:
     The share is taken over the grouped rows, of which there is one per
     behaviour code.
     """
-    counts = log.groupBy("behavior").agg(F.count(F.lit(1)).alias("count"))
+    counts = log.groupBy("behavior").agg(rows(log).alias("count"))
     everything = "sum(count) OVER (PARTITION BY 0)"
     return counts.withColumn("percentage", rate("count", everything)).orderBy(
         F.desc("count"), "behavior"

@@ -12,6 +12,7 @@ from footfall.functions import (
     VIEW,
     activity,
     rate,
+    rows,
     rows_of,
     saw,
     seen_by_user,
@@ -25,8 +26,8 @@ from footfall.params import ITEM_CONVERSION, TOP_N
 def hot_rank(log: DataFrame, key: str, n: int | None) -> DataFrame:
     """Rows per behaviour and in total for each key, largest total first."""
     counts = log.groupBy(key).agg(
-        *(rows_of(b).alias(b) for b in (VIEW, FAV, CART, BUY)),
-        F.count(F.lit(1)).alias("total"),
+        *(rows_of(log, b).alias(b) for b in (VIEW, FAV, CART, BUY)),
+        rows(log).alias("total"),
     )
     return top(counts, n, F.desc("total"), F.col(key))
 

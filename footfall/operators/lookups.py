@@ -7,7 +7,18 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions import BUY, CART, FAV, VIEW, activity, rate, saw, seen_by_user, users_where
+from footfall.functions import (
+    BUY,
+    CART,
+    FAV,
+    VIEW,
+    activity,
+    rate,
+    rows,
+    saw,
+    seen_by_user,
+    users_where,
+)
 
 Date = dt.date | str | None
 
@@ -45,7 +56,7 @@ def result_in_dates(result: DataFrame, start: Date = None, end: Date = None) ->
 def overview(log: DataFrame) -> DataFrame:
     """Rows, users, viewers, buyers and buyers over interested users."""
     per_user = log.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n"),
+        rows(log).alias("n"),
         F.expr(f"bool_or(behavior = '{VIEW}')").alias("viewed"),
         F.expr(f"bool_or(behavior IN ('{VIEW}', '{CART}', '{FAV}'))").alias("interested"),
         F.expr(f"bool_or(behavior = '{BUY}')").alias("bought"),
@@ -72,7 +83,7 @@ def _item(log: DataFrame, item_id: int) -> DataFrame:
 
 def item_behavior_stats(log: DataFrame, item_id: int) -> DataFrame:
     """Rows of one item per behaviour."""
-    return _item(log, item_id).groupBy("behavior").agg(F.count(F.lit(1)).alias("count"))
+    return _item(log, item_id).groupBy("behavior").agg(rows(log).alias("count"))
 
 
 def item_daily_trend(log: DataFrame, item_id: int) -> DataFrame:
@@ -80,7 +91,7 @@ def item_daily_trend(log: DataFrame, item_id: int) -> DataFrame:
     return (
         _item(log, item_id)
         .groupBy("date", "behavior")
-        .agg(F.count(F.lit(1)).alias("count"))
+        .agg(rows(log).alias("count"))
         .orderBy("date", "behavior")
     )
 
@@ -90,7 +101,7 @@ def item_hourly_dist(log: DataFrame, item_id: int) -> DataFrame:
     return (
         _item(log, item_id)
         .groupBy("hour")
-        .agg(F.count(F.lit(1)).alias("count"))
+        .agg(rows(log).alias("count"))
         .orderBy("hour")
     )
 

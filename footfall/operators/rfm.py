@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions import BUY, at_least, top, up_to, users
+from footfall.functions import BUY, at_least, rows, top, up_to, users
 from footfall.params import RFM, TOP_N, Rfm
 
 
@@ -19,7 +19,7 @@ def rfm_detail(log: DataFrame, params: Rfm = RFM) -> DataFrame:
     buyers = (
         log.where(F.col("behavior") == BUY)
         .groupBy("user_id")
-        .agg(F.max("date").alias("last_buy"), F.count(F.lit(1)).alias("frequency"))
+        .agg(F.max("date").alias("last_buy"), rows(log).alias("frequency"))
         .select("user_id", F.datediff(last_date, "last_buy").alias("recency"), "frequency")
     )
     scored = buyers.select(
@@ -63,7 +63,7 @@ def _in_segment(per_user: DataFrame, detail: DataFrame, segment: str) -> DataFra
 
 
 def _rows_by(log: DataFrame, key: str) -> DataFrame:
-    return log.groupBy("user_id", key).agg(F.count(F.lit(1)).alias("n"))
+    return log.groupBy("user_id", key).agg(rows(log).alias("n"))
 
 
 def segment_hourly(log: DataFrame, detail: DataFrame, segment: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions import BUY, CART, FAV, VIEW, rate, rows_of, saw, seen_by_user, users_where
+from footfall.functions import BUY, CART, FAV, VIEW, rate, rows, rows_of, saw, seen_by_user, users_where
 
 
 def daily_uv_pv(log: DataFrame) -> DataFrame:
@@ -14,8 +14,8 @@ def daily_uv_pv(log: DataFrame) -> DataFrame:
         log.groupBy("date")
         .agg(
             F.count_distinct("user_id").alias("uv"),
-            rows_of(VIEW).alias("pv"),
-            F.count(F.lit(1)).alias("total_behavior"),
+            rows_of(log, VIEW).alias("pv"),
+            rows(log).alias("total_behavior"),
         )
         .orderBy("date")
     )
@@ -24,9 +24,9 @@ def daily_uv_pv(log: DataFrame) -> DataFrame:
 def hourly_cvr(log: DataFrame) -> DataFrame:
     """Views, buys and their users per hour of day, with both conversions."""
     per_user = log.groupBy("hour", "user_id").agg(
-        rows_of(VIEW).alias("views"),
-        rows_of(BUY).alias("buys"),
-        F.count(F.lit(1)).alias("n"),
+        rows_of(log, VIEW).alias("views"),
+        rows_of(log, BUY).alias("buys"),
+        rows(log).alias("n"),
     )
     per_hour = per_user.groupBy("hour").agg(
         F.sum("views").alias("pv_count"),
@@ -50,7 +50,7 @@ def weekday_vs_weekend(log: DataFrame) -> DataFrame:
     """
     kind = F.expr("CASE WHEN dayofweek(date) IN (1, 7) THEN '周末' ELSE '工作日' END")
     per_day_user = log.groupBy("date", "user_id").agg(
-        F.count(F.lit(1)).alias("n"), rows_of(VIEW).alias("views"), rows_of(BUY).alias("buys")
+        rows(log).alias("n"), rows_of(log, VIEW).alias("views"), rows_of(log, BUY).alias("buys")
     )
     per_kind = per_day_user.groupBy(kind.alias("type")).agg(
         F.count_distinct("date").alias("days"),

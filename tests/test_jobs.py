@@ -3,6 +3,8 @@ from __future__ import annotations
 import pytest
 
 from footfall import jobs
+from footfall.functions import rollup
+from footfall.operators import diagnostics, items, lookups, rfm
 from footfall.params import RANGE_START
 from footfall.plans.catalogue import _raw
 from footfall.sources import events_log, load_clean
@@ -18,16 +20,40 @@ def test_from_raw_csv_to_saved_results(spark, sf_dir, tmp_path):
     jobs.analyse(log, out, ["daily_uv_pv", "rfm_segments"])  # again, over the first run
     jobs.export(log, out)
 
-    for name, analysis in jobs.ANALYSES.items():
+    on_the_log = {**jobs.ROW_ANALYSES, **jobs.USER_ANALYSES, **jobs.ITEM_ANALYSES}
+    for name, analysis in on_the_log.items():
         expected = analysis(log)
         saved = spark.read.schema(expected.schema).json(f"{out}/{name}")
         assert sorted(map(str, rows_of(saved))) == sorted(map(str, rows_of(expected))), name
-    for name in (*jobs.SEGMENT_ANALYSES, *jobs.EXPORTS):
-        assert spark.read.json(f"{out}/{name}").count() > 0
-    assert spark.read.parquet(f"{out}/rfm_detail").count() > 0
+    detail = rfm.rfm_detail(log)
+    assert sorted(rows_of(spark.read.parquet(f"{out}/rfm_detail"))) == sorted(rows_of(detail))
+    for name, analysis in jobs.SEGMENT_ANALYSES.items():
+        saved = spark.read.json(f"{out}/{name}").select(*analysis(detail).columns)
+        assert sorted(rows_of(saved)) == sorted(rows_of(analysis(detail))), name
+    for name, table in jobs.EXPORTS.items():
+        assert spark.read.json(f"{out}/{name}").count() == table(log).count() > 0
     log.unpersist()
 
 
+def test_lookups_and_diagnostics_agree_on_rollups(spark, sf_dir):
+    log = events_log(spark, sf_dir)
+    by_user, by_item = rollup(log, *jobs.USER_KEYS), rollup(log, *jobs.ITEM_KEYS)
+    pairs = [
+        *((f, by_user) for f in (lookups.overview, diagnostics.purchases_without_view)),
+        *((f, by_user) for f in (diagnostics.behavior_level_cvr, lookups.available_dates)),
+        *((f, by_item) for f in (items.item_details, items.category_items)),
+        *((f, by_item) for f in (items.category_stats, diagnostics.buyers_without_view)),
+        (rollup_of_dates, by_user),
+    ]
+    for operator, reduced in pairs:
+        assert sorted(rows_of(operator(reduced))) == sorted(rows_of(operator(log)))
+    assert rows_of(diagnostics.behavior_level_cvr(by_user.where("false"))) == [(0, 0, 0.0)]
+
+
+def rollup_of_dates(log):
+    return rollup(log, "date")
+
+
 def test_default_range_is_the_business_period(spark, tmp_path):
     (tmp_path / "raw.csv").write_text(f"1,1,1,pv,{RANGE_START}\n1,1,1,pv,1\n")
     jobs.clean_log(spark, str(tmp_path / "raw.csv"), str(tmp_path / "clean"))
