@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions import BUY, CART, FAV, VIEW, rate, rows, rows_of, saw, seen_by_user, users_where
+from footfall.functions import (
+    BUY,
+    CART,
+    FAV,
+    VIEW,
+    rate,
+    rows,
+    rows_of,
+    saw,
+    seen_by_user,
+    users_where,
+)
+
+# The names of the two kinds of day.
+_WEEKEND = "周末"
+_WORKING_DAY = "工作日"
 
 
 def daily_uv_pv(log: DataFrame) -> DataFrame:
@@ -48,7 +63,7 @@ def weekday_vs_weekend(log: DataFrame) -> DataFrame:
     The log is first reduced to one row per (date, user), so the two distinct
     counts that follow multiply the reduced rows only.
     """
-    kind = F.expr("CASE WHEN dayofweek(date) IN (1, 7) THEN '周末' ELSE '工作日' END")
+    kind = F.when(F.dayofweek("date").isin(1, 7), _WEEKEND).otherwise(_WORKING_DAY)
     per_day_user = log.groupBy("date", "user_id").agg(
         rows(log).alias("n"), rows_of(log, VIEW).alias("views"), rows_of(log, BUY).alias("buys")
     )

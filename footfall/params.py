@@ -50,6 +50,7 @@ class Rfm:
     recency_beyond: int = 1
     frequency_bands: tuple[tuple[int, int], ...] = ((1, 1), (2, 2), (4, 3), (9, 4))
     frequency_beyond: int = 5
+    # The segment names.
     segments: tuple[tuple[float, str], ...] = (
         (4.0, "高价值用户"),
         (3.0, "潜力用户"),

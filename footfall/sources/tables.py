@@ -33,7 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def part_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item and category of every part; the category ends the brand's name."""
     return table(spark, sf_dir, "part").selectExpr(
-        "p_partkey AS item_id", "CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS INT) AS category_id"
+        "p_partkey AS item_id",
+        "CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS INT) AS category_id",
     )
 
 

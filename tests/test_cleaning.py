@@ -102,7 +102,7 @@ def test_save_overwrites(spark, tmp_path):
 
 def _session_with(**settings):
     named = {key.replace("_", "."): value for key, value in settings.items()}
-    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: named.get(key, default)))
+    return SimpleNamespace(conf=SimpleNamespace(get=named.get))
 
 
 def test_work_folder_follows_the_session_setting():

@@ -44,7 +44,8 @@ def test_conversion_over_100_percent(spark):
 
 def test_union_interest_in_lookups(spark):
     stats = {r.category_id: r for r in items.category_stats(_shop(spark)).collect()}
-    assert (stats[7].total, stats[7].pv_uv, stats[7].interest_uv, stats[7].buy_uv) == (24, 10, 10, 5)
+    seven = stats[7]
+    assert (seven.total, seven.pv_uv, seven.interest_uv, seven.buy_uv) == (24, 10, 10, 5)
     assert stats[7].cvr == 50.0
     assert (stats[8].total, stats[8].interest_uv, stats[8].cvr) == (1, 0, 0.0)
     assert [r.item_id for r in items.category_items_lookup(_shop(spark), 7, 1).collect()] == [2]
@@ -109,7 +110,8 @@ def test_nested_export_equals_the_flat_one(spark, sf_dir):
     nested = items.category_items_nested(log)
     unnested = nested.select("category_id", F.inline("items")).select(*flat.columns)
     assert sorted(rows_of(unnested)) == sorted(rows_of(flat))
-    assert all([i.rank for i in r["items"]] == list(range(1, len(r["items"]) + 1)) for r in nested.collect())
+    for row in nested.collect():
+        assert [item.rank for item in row["items"]] == list(range(1, len(row["items"]) + 1))
 
 
 def test_approximate_threshold_is_within_its_error(spark, sf_dir):

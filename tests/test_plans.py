@@ -34,7 +34,7 @@ def no_broadcast(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python(spark, sf_dir, no_broadcast, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval", "MapInPandas"):
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "MapInPandas"):
         assert bad not in plan
     # Only the reduced rows of the two-kinds-of-day query and the one-row
     # summaries turned into rows are ever multiplied.

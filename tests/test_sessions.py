@@ -53,7 +53,7 @@ def test_equal_times_are_ordered_by_the_tie_break(spark):
     assert rows_of(sessions.behavior_paths(log)) == [("buy → cart", 1), ("cart → pv", 1)]
     assert rows_of(sessions.behavior_paths_3step(log)) == [("buy → cart → pv", 1)]
     by_id = log.withColumn(
-        "event_id", F.when(F.col("behavior") == "pv", 1).when(F.col("behavior") == "buy", 2).otherwise(3)
+        "event_id", F.expr("CASE behavior WHEN 'pv' THEN 1 WHEN 'buy' THEN 2 ELSE 3 END")
     )
     assert rows_of(sessions.behavior_paths_3step(by_id)) == [("pv → buy → cart", 1)]
 

@@ -24,7 +24,9 @@ def test_daily_counts_rows_users_and_views(spark):
 
 
 def test_retention_counts_exact_days_and_marks_censored_cohorts(spark):
-    log = visits(spark, (1, "pv", 0), (1, "pv", DAY), (1, "pv", 3 * DAY), (2, "pv", 0), (3, "pv", DAY))
+    log = visits(
+        spark, *[(1, "pv", d * DAY) for d in (0, 1, 3)], (2, "pv", 0), (3, "pv", DAY)
+    )
     assert rows_of(cohorts.retention(log)) == [
         (FIRST, 2, 1, 50.0, 1, 50.0, 0, 0.0),
         (FIRST + dt.timedelta(1), 1, 0, 0.0, 0, 0.0, 0, 0.0),
@@ -66,9 +68,8 @@ def test_first_purchase_gap(spark):
 
 
 def test_active_days(spark):
-    log = visits(
-        spark, *[(u, "pv", d * DAY) for u, n in [(1, 1), (2, 3), (3, 5), (4, 7), (5, 8)] for d in range(n)]
-    )
+    days_of_users = [(1, 1), (2, 3), (3, 5), (4, 7), (5, 8)]
+    log = visits(spark, *[(u, "pv", d * DAY) for u, n in days_of_users for d in range(n)])
     assert dict(rows_of(cohorts.active_days(log))) == {
         "仅1天": 1,
         "2-3天": 1,
@@ -149,7 +150,9 @@ def test_daily_funnel_is_strict_and_per_day(spark):
 
 def test_whole_period_funnel(spark):
     log = visits(
-        spark, (1, "pv", 0), (1, "fav", DAY), (1, "buy", 0), (2, "pv", 0), (3, "buy", 0), (4, "cart", 0)
+        spark,
+        *[(1, "pv", 0), (1, "fav", DAY), (1, "buy", 0)],
+        *[(2, "pv", 0), (3, "buy", 0), (4, "cart", 0)],
     )
     assert [tuple(r)[1:] for r in funnels.conversion_funnel_detail(log).collect()] == [
         (2, 100.0, 100.0),
