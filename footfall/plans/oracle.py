@@ -87,7 +87,7 @@ def _orders(query: str, *more: str) -> str:
     return "WITH " + ",".join((_ORDERS, *more)) + "\n" + query
 
 
-def _uv(behaviors: str, log: str = "") -> str:
+def _uv(behaviors: str) -> str:
     return f"count(DISTINCT CASE WHEN behavior IN ({behaviors}) THEN user_id END)"
 
 

@@ -136,3 +136,24 @@ def test_nan_counts_as_missing_and_null_behavior_is_invalid(spark):
     )
     assert dict(rows_of(quality.null_counts(frame))) == {"v": 2, "behavior": 1}
     assert (None, 1, False) in rows_of(quality.behavior_domain(frame))
+
+
+def test_heavy_days_are_written_by_many_tasks_and_quiet_ones_by_few(spark, tmp_path):
+    path = str(tmp_path / "clean")
+    raw = spark.range(0, 300000, 1, 8).selectExpr(
+        "CAST(id AS INT) AS user_id",
+        "CAST(id * 7919 % 100003 AS INT) AS item_id",
+        "1 AS category_id",
+        "'pv' AS behavior",
+        f"CAST({RANGE_START} + IF(id % 1000 = 0, 86400, id % 86400) AS INT) AS timestamp",
+    )
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, str(512 * 1024))
+    try:
+        write_clean(cleaning.clean(raw), path)
+    finally:
+        spark.conf.unset(size)
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "clean").glob("date=*")}
+    assert files["date=2017-11-25"] > 1  # by size, not one task per date
+    assert files["date=2017-11-26"] == 1
+    assert load_clean(spark, path).count() == 300000
