@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm import (
+    bagminhash,
     bpe,
     chat,
     decontam,
@@ -63,6 +64,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digests(decontam.match(docs, benchmark))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document; see ``bagminhash``."""
+    return bagminhash.classes(read(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document, and its text from them."""
     return bpe.digests(read(spark, sf_dir, "documents"), RANKS, PATTERN)
@@ -120,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_quality": op2_quality,
     "op3_decontaminate": op3_decontaminate,
+    "op4_near_dedup": op4_near_dedup,
     "op5_bpe": op5_bpe,
     "op6_quality_rules": op6_quality_rules,
     "op7_lm_score": op7_lm_score,
