@@ -1,4 +1,4 @@
-"""``python -m footfall clean|analyse|export SOURCE TARGET [NAME ...]``"""
+"""``python -m footfall check|clean|analyse|export SOURCE TARGET [NAME ...]``"""
 
 from __future__ import annotations
 
@@ -7,20 +7,22 @@ import argparse
 from pyspark.sql import SparkSession
 
 from footfall import jobs
-from footfall.sources import load_clean
+from footfall.sources import load_clean, read_log
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="footfall", description=__doc__)
-    parser.add_argument("job", choices=("clean", "analyse", "export"))
-    parser.add_argument("source", help="raw CSV log to clean, otherwise the cleaned log")
+    parser.add_argument("job", choices=("check", "clean", "analyse", "export"))
+    parser.add_argument("source", help="raw CSV log to check or clean, otherwise the cleaned log")
     parser.add_argument("target", help="folder to write")
     parser.add_argument("names", nargs="*", help="analyses to run, all if none is given")
     parser.add_argument("--cache", action="store_true", help="keep the log for all analyses")
     options = parser.parse_args()
 
     spark = SparkSession.builder.appName(f"footfall-{options.job}").getOrCreate()
-    if options.job == "clean":
+    if options.job == "check":
+        jobs.check(read_log(spark, options.source), options.target)
+    elif options.job == "clean":
         jobs.clean_log(spark, options.source, options.target)
     else:
         log = load_clean(spark, options.source, cache=options.cache)

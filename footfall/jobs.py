@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from footfall.functions import rollup
-from footfall.operators import cleaning, cohorts, funnels, items, rfm, sessions, traffic
+from footfall.operators import cleaning, cohorts, funnels, items, quality, rfm, sessions, traffic
 from footfall.params import RANGE_END, RANGE_START
 from footfall.sources import read_log, save, write_clean, write_rfm
 
@@ -67,6 +67,19 @@ def clean_log(
     write_clean(cleaning.clean(read_log(spark, raw), start, end), clean)
 
 
+def check(log: DataFrame, output: str, start: int = RANGE_START, end: int = RANGE_END) -> None:
+    """Save the quality reports of a raw or clean log, each under its name."""
+    reports = {
+        "range_report": quality.range_report(log, start, end),
+        "null_counts": quality.null_counts(log),
+        "behavior_domain": quality.behavior_domain(log),
+        "duplicate_report": quality.duplicate_report(log),
+        "clean_report": cleaning.report(log, start, end),
+    }
+    for name, report in reports.items():
+        save(report, f"{output}/{name}")
+
+
 def _stored(frame: DataFrame, path: str) -> DataFrame:
     """Write a frame that several analyses share and read it back."""
     save(frame, path, fmt="parquet")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.params import BUSINESS_ZONE, RANGE_END, RANGE_START
@@ -35,6 +37,30 @@ def derive_time(log: DataFrame, zone: str = BUSINESS_ZONE) -> DataFrame:
     )
 
 
+def report(log: DataFrame, start: int = RANGE_START, end: int = RANGE_END) -> DataFrame:
+    """What cleaning does with the rows: one row of counts.
+
+    ``malformed_rows`` have a field that could not be read (NULL), wherever
+    they end up.  ``out_of_range_rows`` fall out for their time, NULL times
+    included; of the rest, ``duplicate_rows`` are surplus copies.
+    """
+    copies = log.groupBy(*log.columns).agg(F.count(F.lit(1)).alias("n"))
+    inside = F.coalesce(F.col("timestamp").between(start, end), F.lit(False))
+    broken = reduce(Column.__or__, (F.col(c).isNull() for c in log.columns))
+
+    def total(value: Column, where: Column) -> Column:
+        return F.coalesce(F.sum(F.when(where, value)), F.lit(0))
+
+    n = F.col("n")
+    return copies.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("raw_rows"),
+        total(n, broken).alias("malformed_rows"),
+        total(n, ~inside).alias("out_of_range_rows"),
+        total(n - 1, inside).alias("duplicate_rows"),
+        F.count_if(inside).alias("kept_rows"),
+    )
+
+
 def clean(
     log: DataFrame,
     start: int = RANGE_START,

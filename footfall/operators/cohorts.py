@@ -4,29 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions import BUY, VIEW, rate, up_to
-from footfall.params import RETENTION_DAYS
+from footfall.params import ACTIVE_DAYS, RETENTION_DAYS, ActiveDays
 
 # The labels of the distributions.
 _GAP_BANDS = ((1, "1天内"), (3, "2-3天"), (7, "4-7天"))
 _GAP_BEYOND = "7天以上"
 _GAP_SAME_DAY = "当天购买"
 _GAP_NEGATIVE = "先购后看"
-_ACTIVE_BANDS = ((1, "仅1天"), (3, "2-3天"), (5, "4-5天"), (7, "6-7天"))
-_ACTIVE_BEYOND = "8-9天"
 
 
 def user_days(log: DataFrame) -> DataFrame:
     """Distinct (user, date) with the user's first active date.
 
-    The window sees at most one row per day and user, however many rows a
-    user has in the log.
+    One aggregate per user collects the distinct dates; it combines on the map
+    side and holds no more than the days of the log, however many rows a user
+    has.
     """
-    days = log.where("user_id IS NOT NULL").select("user_id", "date").distinct()
-    return days.withColumn("first_date", F.min("date").over(Window.partitionBy("user_id")))
+    return _dates_of_users(log).select(
+        "user_id", F.explode("dates").alias("date"), F.array_min("dates").alias("first_date")
+    )
+
+
+def _dates_of_users(log: DataFrame) -> DataFrame:
+    """The set of active dates of every user there is."""
+    known = log.where("user_id IS NOT NULL AND date IS NOT NULL")
+    return known.groupBy("user_id").agg(F.collect_set("date").alias("dates"))
 
 
 def retention(
@@ -103,10 +109,10 @@ def first_purchase_gap(log: DataFrame, split_negative: bool = False) -> DataFram
     )
 
 
-def active_days(log: DataFrame) -> DataFrame:
-    """Users by number of distinct active dates."""
-    per_user = log.groupBy("user_id").agg(F.count_distinct("date").alias("days"))
-    band = up_to("days", _ACTIVE_BANDS, _ACTIVE_BEYOND)
+def active_days(log: DataFrame, params: ActiveDays = ACTIVE_DAYS) -> DataFrame:
+    """Users by number of distinct active dates, in the given bands."""
+    per_user = _dates_of_users(log).select(F.size("dates").alias("days"))
+    band = up_to("days", params.bands, params.beyond)
     return (
         per_user.groupBy(band.alias("active_group"))
         .agg(F.count(F.lit(1)).alias("user_count"))

@@ -12,13 +12,16 @@ def purchases_without_view(log: DataFrame, *keys: str) -> DataFrame:
     """Buy rows without a view by the same keys (user and date by default).
 
     One rollup per key set answers it: buys count where the set has no view.
+    A key that is NULL matches nothing, so its buys are without a view.
     """
-    per_key = log.groupBy(*(keys or ("user_id", "date"))).agg(
+    keys = keys or ("user_id", "date")
+    unmatched = " OR ".join(["views = 0", *(f"{key} IS NULL" for key in keys)])
+    per_key = log.groupBy(*keys).agg(
         rows_of(log, BUY).alias("buys"), rows_of(log, VIEW).alias("views")
     )
     totals = per_key.agg(
         F.expr("coalesce(sum(buys), 0)").alias("purchases"),
-        F.expr("coalesce(sum(CASE WHEN views = 0 THEN buys END), 0)").alias("without_view"),
+        F.expr(f"coalesce(sum(CASE WHEN {unmatched} THEN buys END), 0)").alias("without_view"),
     )
     return totals.withColumn("share", rate("without_view", "purchases"))
 

@@ -14,7 +14,9 @@ from footfall.functions import (
     VIEW,
     activity,
     rate,
+    rollup,
     rows,
+    rows_of,
     saw,
     seen_by_user,
     users_where,
@@ -124,8 +126,10 @@ def batch_lookup(log: DataFrame, requests: DataFrame) -> DataFrame:
     """All measures of the requested items and categories.
 
     ``requests`` has columns ``kind`` (``item`` or ``category``) and ``id``.
-    An id without rows in the log gives no row.
+    An id without rows in the log gives no row.  The log is read and joined
+    once: rolled up to (category, item, user), it serves both kinds.
     """
+    log = rollup(log, "category_id", "item_id", "user_id", "behavior")
 
     def measured(kind: str, key: str) -> DataFrame:
         ids = F.col("id").try_cast(log.schema[key].dataType)
@@ -140,19 +144,23 @@ def batch_lookup(log: DataFrame, requests: DataFrame) -> DataFrame:
     return measured("item", "item_id").unionByName(measured("category", "category_id"))
 
 
-def kpi_summary(daily: DataFrame, distribution: DataFrame) -> DataFrame:
-    """Headline figures from the daily traffic and the behaviour mix.
+def kpi_summary(log: DataFrame) -> DataFrame:
+    """Headline figures of the log, in one pass.
 
     ``total_uv`` is the best day's users, not the users of the period.
     """
-    bought = distribution.agg(
-        F.expr(f"coalesce(max(CASE WHEN behavior = '{BUY}' THEN count END), 0)")
-    ).scalar()
+    per_user = log.groupBy("date", "user_id").agg(
+        rows(log).alias("n"), rows_of(log, VIEW).alias("views"), rows_of(log, BUY).alias("buys")
+    )
+    daily = per_user.groupBy("date").agg(
+        F.count("user_id").alias("uv"), *(F.sum(c).alias(c) for c in ("n", "views", "buys"))
+    )
     totals = daily.agg(
-        F.sum("total_behavior").alias("total_records"),
+        F.sum("n").alias("total_records"),
         F.max("uv").alias("total_uv"),
-        F.sum("pv").alias("total_pv"),
-    ).withColumn("total_buy", bought)
+        F.sum("views").alias("total_pv"),
+        F.coalesce(F.sum("buys"), F.lit(0)).alias("total_buy"),
+    )
     return totals.withColumn("avg_cvr", rate("total_buy", "total_pv"))
 
 

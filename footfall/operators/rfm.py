@@ -12,12 +12,12 @@ from footfall.params import RFM, TOP_N, Rfm
 def rfm_detail(log: DataFrame, params: Rfm = RFM) -> DataFrame:
     """One row per buyer: recency, frequency, scores and segment.
 
-    Recency counts back from the last date of the whole log, which enters as
+    Rows without a user make no buyer.  Recency counts back from the last date of the whole log, which enters as
     a scalar subquery.
     """
     last_date = log.agg(F.max("date")).scalar()
     buyers = (
-        log.where(F.col("behavior") == BUY)
+        log.where((F.col("behavior") == BUY) & F.col("user_id").isNotNull())
         .groupBy("user_id")
         .agg(F.max("date").alias("last_buy"), rows(log).alias("frequency"))
         .select("user_id", F.datediff(last_date, "last_buy").alias("recency"), "frequency")

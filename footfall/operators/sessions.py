@@ -6,7 +6,7 @@ of a busy user into one task.  For busy users time is cut into slots no wider
 than the gap, so rows of one user and slot always share a session, and what is
 ordered per user afterwards grows with the number of slots in the log's
 period, not with the number of rows.  Results do not depend on who counts as
-busy.
+busy.  Rows without a user are in no session and on no path.
 """
 
 from __future__ import annotations
@@ -21,9 +21,11 @@ from footfall.params import SESSION_GAP_MINUTES
 SLOT_SECONDS = 300
 # A user is busy with more rows than both limits; the share bounds the number
 # of busy users by its inverse, so their list is always small enough to
-# broadcast.
-BUSY_SHARE = 1e-5
+# broadcast.  Who counts as busy changes the plan, never the result.
+BUSY_SHARE = 1e-6
 BUSY_ROWS = 1_000_000
+# Rows that a busy user may have for each second of slot width.
+ROWS_PER_SECOND = 200_000
 
 _MICROS = 1_000_000
 _ARROW = " → "
@@ -33,24 +35,32 @@ def _gap(minutes: float) -> int:
     return int(minutes * 60 * _MICROS)
 
 
-def _slot(gap_minutes: float, slot_seconds: float | None = None) -> Column:
-    """Start of the row's slot; without a width, slots are as wide as the gap."""
-    width = _gap(gap_minutes)
-    if slot_seconds is not None:
-        width = min(width, int(slot_seconds * _MICROS))
-    return F.expr(f"ts_us - pmod(ts_us, {width}L)").alias("slot")
+def _slot(gap_minutes: float, seconds: Column | float = SLOT_SECONDS) -> Column:
+    """Start of the row's slot, which is never wider than the gap."""
+    width = F.least(F.lit(max(1, _gap(gap_minutes))), (F.lit(seconds) * _MICROS).cast("long"))
+    return (F.col("ts_us") - F.pmod("ts_us", F.greatest(width, F.lit(1)))).alias("slot")
 
 
-def _split_busy(log: DataFrame, busy_rows: int) -> tuple[DataFrame, DataFrame]:
-    """The rows of ordinary users and those of busy users.
+def _split_busy(
+    log: DataFrame, busy_rows: int, slot_seconds: float = SLOT_SECONDS
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of ordinary users, and those of busy users with their slot width.
 
-    Where nobody is busy, adaptive execution drops the second part.
+    The width falls with the user's rows, down to a second, so a slot does not
+    grow with the log.  Where nobody is busy, adaptive execution drops the
+    second part.  Rows without a user are in neither.
     """
-    sizes = log.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    known = log.where("user_id IS NOT NULL")
+    sizes = known.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     limit = sizes.agg(F.expr(f"greatest(sum(n) * {BUSY_SHARE}D, {busy_rows}D)")).scalar()
-    busy = sizes.where(F.col("n") > limit).select(F.col("user_id").alias("busy_user"))
-    same = F.col("user_id").eqNullSafe(F.col("busy_user"))
-    return tuple(log.join(F.broadcast(busy), same, how) for how in ("left_anti", "left_semi"))
+    width = F.lit(slot_seconds * slot_seconds * ROWS_PER_SECOND) / F.col("n")
+    width = F.least(F.lit(float(slot_seconds)), F.greatest(F.lit(1.0), width))
+    busy = sizes.where(F.col("n") > limit).select(
+        F.col("user_id").alias("busy_user"), width.alias("slot_width")
+    )
+    same = F.col("user_id") == F.col("busy_user")
+    ordinary = known.join(F.broadcast(busy), same, "left_anti")
+    return ordinary, known.join(F.broadcast(busy), same).drop("busy_user")
 
 
 def _order(log: DataFrame) -> list[str]:
@@ -88,6 +98,11 @@ def _session_id() -> Column:
     return F.concat_ws("_", F.col("user_id").cast("string"), F.col("session_no").cast("string"))
 
 
+def _row_spans(log: DataFrame) -> DataFrame:
+    """Every row as a span of its own."""
+    return log.select("*", *(F.col("ts_us").alias(c) for c in ("first_us", "last_us")))
+
+
 def sessionize(
     log: DataFrame,
     gap_minutes: float = SESSION_GAP_MINUTES,
@@ -97,40 +112,49 @@ def sessionize(
     """The log with ``session_id`` = user and running session number.
 
     Ordinary users are numbered row by row.  Busy users are numbered on one
-    span per slot, which is joined back to the rows on user and slot.
+    span per slot, which is joined back to the rows on user and slot.  Rows
+    without a user belong to no session: their id is NULL.
     """
-    ordinary, busy = _split_busy(log, busy_rows)
+    ordinary, busy = _split_busy(log, busy_rows, slot_seconds)
     columns = [*log.columns, _session_id().alias("session_id")]
+    by_row = _numbered(_row_spans(ordinary), gap_minutes, *_order(log)).select(*columns)
 
-    single = ordinary.select("*", *(F.col("ts_us").alias(c) for c in ("first_us", "last_us")))
-    by_row = _numbered(single, gap_minutes, *_order(log)).select(*columns)
-
-    slot = _slot(gap_minutes, slot_seconds)
+    slot = _slot(gap_minutes, F.col("slot_width"))
     numbered = _numbered(_spans(busy, slot), gap_minutes).select(
         F.col("user_id").alias("span_user"), F.col("slot").alias("span_slot"), "session_no"
     )
-    same_span = F.col("user_id").eqNullSafe(F.col("span_user")) & (
-        F.col("slot") == F.col("span_slot")
-    )
+    same_span = (F.col("user_id") == F.col("span_user")) & (F.col("slot") == F.col("span_slot"))
     by_span = busy.select("*", slot).join(numbered, same_span).select(*columns)
-    return by_row.unionByName(by_span)
+    nobody = log.where("user_id IS NULL").select("*", F.lit(None).cast("string").alias("session_id"))
+    return by_row.unionByName(by_span).unionByName(nobody)
 
 
-def session_rollup(log: DataFrame, gap_minutes: float = SESSION_GAP_MINUTES) -> DataFrame:
+def session_rollup(
+    log: DataFrame,
+    gap_minutes: float = SESSION_GAP_MINUTES,
+    slot_seconds: float = SLOT_SECONDS,
+    busy_rows: int = BUSY_ROWS,
+) -> DataFrame:
     """Rows and distinct behaviours of each session.
 
-    Only spans per (user, slot, behaviour) are shuffled; the rows themselves
-    are combined on the map side.
+    Rows of ordinary users are shuffled once, numbered in order and grouped
+    where they are.  Of busy users, only spans per (user, slot, behaviour) are
+    shuffled, combined on the map side.
     """
-    spans = _spans(log, _slot(gap_minutes), "behavior")
-    return (
-        _numbered(spans, gap_minutes)
-        .groupBy("user_id", "session_no")
-        .agg(
+    needed = log.select("user_id", "ts_us", "behavior")
+    ordinary, busy = _split_busy(needed, busy_rows, slot_seconds)
+    by_row = _numbered(_row_spans(ordinary).withColumn("n", F.lit(1)), gap_minutes, "ts_us")
+    slot = _slot(gap_minutes, F.col("slot_width"))
+    by_span = _numbered(_spans(busy, slot, "behavior"), gap_minutes)
+    parts = (
+        part.groupBy("user_id", "session_no").agg(
             F.sum("n").alias("session_length"),
-            F.count_distinct("behavior").alias("unique_behaviors"),
+            F.size(F.collect_set("behavior")).cast("long").alias("unique_behaviors"),
         )
-        .select(_session_id().alias("session_id"), "session_length", "unique_behaviors")
+        for part in (by_row, by_span)
+    )
+    return reduce(DataFrame.unionAll, parts).select(
+        _session_id().alias("session_id"), "session_length", "unique_behaviors"
     )
 
 
@@ -189,10 +213,10 @@ def behavior_paths(
     """
     order = _order(log)
     rows = log.select("user_id", *dict.fromkeys([*order, "behavior"]))
-    ordinary, busy = _split_busy(rows, busy_rows)
+    ordinary, busy = _split_busy(rows, busy_rows, slot_seconds)
 
     in_slot = Window.partitionBy("user_id", "slot").orderBy(*order)
-    slotted = busy.select("*", _slot(gap_minutes, slot_seconds))
+    slotted = busy.select("*", _slot(gap_minutes, F.col("slot_width"))).drop("slot_width")
     edges = slotted.select(
         "*",
         F.row_number().over(in_slot).alias("nth"),

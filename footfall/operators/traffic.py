@@ -60,20 +60,23 @@ def hourly_cvr(log: DataFrame) -> DataFrame:
 def weekday_vs_weekend(log: DataFrame) -> DataFrame:
     """Working days against weekends; a kind of day without rows is absent.
 
-    The log is first reduced to one row per (date, user), so the two distinct
-    counts that follow multiply the reduced rows only.
+    Users are counted on one row per (kind, user) and days on the distinct
+    dates, so no row is multiplied for two distinct counts in one aggregate.
     """
     kind = F.when(F.dayofweek("date").isin(1, 7), _WEEKEND).otherwise(_WORKING_DAY)
-    per_day_user = log.groupBy("date", "user_id").agg(
-        rows(log).alias("n"), rows_of(log, VIEW).alias("views"), rows_of(log, BUY).alias("buys")
+    per_user = log.groupBy(kind.alias("type"), "user_id").agg(
+        rows(log).alias("n"),
+        rows_of(log, VIEW).alias("views"),
+        rows_of(log, BUY).alias("buys"),
     )
-    per_kind = per_day_user.groupBy(kind.alias("type")).agg(
-        F.count_distinct("date").alias("days"),
+    days = log.select("date").distinct().groupBy(kind.alias("type"))
+    per_kind = per_user.groupBy("type").agg(
         F.sum("n").alias("total_behavior"),
-        F.count_distinct("user_id").alias("uv"),
+        F.count("user_id").alias("uv"),
         F.sum("views").alias("pv"),
         F.sum("buys").alias("buy"),
     )
+    per_kind = per_kind.join(days.agg(F.count("date").alias("days")), "type")
     average = F.expr("CAST(bround(total_behavior / days, 0) AS BIGINT)")
     return per_kind.select(
         "type",

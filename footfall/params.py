@@ -64,6 +64,16 @@ class Rfm:
         return self.segments[0][1]
 
 
+@dataclass(frozen=True)
+class ActiveDays:
+    """Bands of active days as (upper bound inclusive, label); the defaults fit nine days."""
+
+    # The labels.
+    bands: tuple[tuple[int, str], ...] = ((1, "仅1天"), (3, "2-3天"), (5, "4-5天"), (7, "6-7天"))
+    beyond: str = "8-9天"
+
+
 TOP_N = TopN()
+ACTIVE_DAYS = ActiveDays()
 ITEM_CONVERSION = ItemConversion()
 RFM = Rfm()

@@ -121,7 +121,7 @@ firsts AS (SELECT user_id, min(date) AS first_date FROM events_log GROUP BY user
 days AS (SELECT DISTINCT user_id, date FROM events_log)"""
 
 
-def _retention() -> str:
+def _retention(where: str = "true") -> str:
     columns, joins = [], []
     for n in (1, 3, 7):
         columns.append(
@@ -137,7 +137,7 @@ def _retention() -> str:
     return _events(
         f"""SELECT c.first_date, c.new_users, {', '.join(columns)}
   FROM (SELECT first_date, count(*) AS new_users FROM firsts GROUP BY first_date) c
-  {''.join(joins)}""",
+  {''.join(joins)} WHERE {where.replace('first_date', 'c.first_date')}""",
         _FIRSTS,
     )
 
@@ -244,9 +244,9 @@ def _segment(select: str, segment: str = "潜力用户", tail: str = "") -> str:
     )
 
 
-_RAW = """CAST(user_id AS INTEGER) AS user_id, CAST(item_id AS INTEGER) AS item_id,
-  CAST(category_id AS INTEGER) AS category_id, behavior,
-  CAST("timestamp" AS INTEGER) AS "timestamp\""""
+_RAW = """CAST(user_id AS BIGINT) AS user_id, CAST(item_id AS BIGINT) AS item_id,
+  CAST(category_id AS BIGINT) AS category_id, behavior,
+  CAST("timestamp" AS BIGINT) AS "timestamp\""""
 
 _LOCAL = "(TIMESTAMP '1970-01-01 08:00:00' + to_seconds(\"timestamp\"))"
 _TIME_FIELDS = f"""CAST("timestamp" AS BIGINT) * 1000000 AS ts_us,
@@ -273,7 +273,109 @@ def _without_view(keys: tuple[str, ...]) -> str:
     )
 
 
+_REPEATING = """CAST(item_id AS BIGINT) AS item_id, CAST(category_id AS BIGINT) AS category_id,
+  behavior, CAST("timestamp" AS BIGINT) AS "timestamp\""""
+_BROKEN = """
+broken AS (
+  SELECT CASE WHEN item_id % 10 = 0 THEN NULL ELSE user_id END AS user_id,
+         item_id, category_id, behavior, "timestamp" FROM events_log)"""
+
+
+def _report(rows: str, columns: str, start: int, end: int) -> str:
+    inside = f'"timestamp" BETWEEN {start} AND {end}'
+    broken = " OR ".join(f"{c} IS NULL" for c in columns.split(", "))
+    return f"""SELECT raw_rows, malformed_rows, out_of_range_rows,
+         raw_rows - out_of_range_rows - kept_rows AS duplicate_rows, kept_rows
+  FROM (SELECT (SELECT count(*) FROM {rows}) AS raw_rows,
+               (SELECT count(*) FROM {rows} WHERE {broken}) AS malformed_rows,
+               (SELECT count(*) FROM {rows} WHERE ({inside}) IS NOT TRUE) AS out_of_range_rows,
+               (SELECT count(*) FROM (SELECT DISTINCT {columns} FROM {rows} WHERE {inside}))
+                 AS kept_rows)"""
+
+
+_ALL_RAW = 'user_id, item_id, category_id, behavior, "timestamp"'
+_FOUR = 'item_id, category_id, behavior, "timestamp"'
+_ITEMS = """CAST(row_number() OVER (PARTITION BY category_id ORDER BY total DESC, item_id)
+                AS INTEGER) AS rank"""
+_WIDE = (
+    _RFM.replace(
+        "recency <= 1 THEN 5 WHEN recency <= 3 THEN 4 WHEN recency <= 5 THEN 3\n"
+        "              WHEN recency <= 7 THEN 2",
+        "recency <= 0 THEN 5 WHEN recency <= 1 THEN 4 WHEN recency <= 3 THEN 3\n"
+        "              WHEN recency <= 5 THEN 2",
+    )
+    .replace("frequency <= 1 THEN 1", "frequency <= 9 THEN 1")
+    .replace("frequency <= 2 THEN 2", "frequency <= 12 THEN 2")
+    .replace("frequency <= 4 THEN 3", "frequency <= 15 THEN 3")
+    .replace("WHEN frequency <= 9 THEN 4", "WHEN frequency <= 18 THEN 4")
+)
+
 ORACLE: dict[str, str] = {
+    "clean_dedup_items": _orders(f"SELECT DISTINCT {_REPEATING} FROM orders_log"),
+    "clean_report": _events(_report("events_log", _ALL_RAW, 1704672000, 1705449599)),
+    "clean_report_items": _orders(_report("orders_log", _FOUR, 820454400, 946684799)),
+    "clean_report_csv": _events(_report("broken", _ALL_RAW, 1704672000, 1705449599), _BROKEN),
+    "quality_nulls_csv": _events(
+        " UNION ALL ".join(
+            f"SELECT '{c.strip(chr(34))}' AS column_name, count(*) - count({c}) AS null_count"
+            " FROM broken"
+            for c in _ALL_RAW.split(", ")
+        ),
+        _BROKEN,
+    ),
+    "quality_duplicates_items": _orders(
+        f"""SELECT total_rows, distinct_rows, total_rows - distinct_rows AS duplicate_rows
+  FROM (SELECT (SELECT count(*) FROM orders_log) AS total_rows,
+               (SELECT count(*) FROM (SELECT DISTINCT {_FOUR} FROM orders_log))
+                 AS distinct_rows)"""
+    ),
+    "rfm_segments_wide": _events(
+        "SELECT user_segment, count(*) AS user_count FROM rfm GROUP BY 1", _WIDE
+    ),
+    "session_stats_plain_log": _stats(30),
+    "active_days_wide": _events(
+        """SELECT CASE WHEN d <= 10 THEN '1-10' WHEN d <= 14 THEN '11-14' WHEN d <= 18 THEN '15-18'
+              ELSE 'more than 18' END AS active_group, count(*) AS user_count
+  FROM (SELECT user_id, count(DISTINCT date) AS d FROM events_log GROUP BY 1) GROUP BY 1"""
+    ),
+    "category_hot_rank_few": _orders(
+        f"""SELECT category_id, {_rows('pv')} AS pv, {_rows('fav')} AS fav,
+         {_rows('cart')} AS cart, {_rows('buy')} AS buy, count(*) AS total
+  FROM orders_log GROUP BY category_id ORDER BY total DESC, category_id LIMIT 5"""
+    ),
+    "item_low_cvr_approx": _orders("SELECT true AS within_error"),
+    "cohort_date_filter": _retention(
+        "first_date BETWEEN DATE '2024-01-02' AND DATE '2024-01-16'"
+    ),
+    "category_stats_in_dates": _events(
+        _activity(
+            "events_log",
+            "category_id",
+            where="date BETWEEN DATE '2024-01-08' AND DATE '2024-01-16'",
+        )
+    ),
+    "item_summary_in_dates": _events(
+        f"""SELECT CAST(42 AS INTEGER) AS item_id, uv, {_rate('buyers', 'interested')} AS cvr
+  FROM (SELECT {_uv("'pv'")} AS uv, {_uv("'pv', 'cart', 'fav'")} AS interested,
+               {_uv("'buy'")} AS buyers FROM events_log
+        WHERE item_id = 42 AND date BETWEEN DATE '2024-01-08' AND DATE '2024-01-16')"""
+    ),
+    "segment_hourly_in_dates": _segment("hour, count(*) AS behavior_count").replace(
+        "GROUP BY ALL", "AND date BETWEEN DATE '2024-01-08' AND DATE '2024-01-16' GROUP BY ALL"
+    ),
+    "segment_top_categories_few": _segment(
+        "category_id, count(*) AS behavior_count, count(DISTINCT user_id) AS user_count",
+        tail="ORDER BY behavior_count DESC, category_id LIMIT 5",
+    ),
+    "category_details_few": _orders(
+        _activity("orders_log", "category_id") + " ORDER BY total DESC, category_id LIMIT 5"
+    ),
+    "category_items_nested": _orders(
+        f"""SELECT category_id, string_agg(concat_ws(':', item_id, total, interest_uv, buy_uv), ','
+         ORDER BY rank) AS items
+  FROM (SELECT *, {_ITEMS} FROM ({_activity('orders_log', 'category_id, item_id', viewers=False)}))
+  WHERE rank <= 20 GROUP BY category_id"""
+    ),
     "ingest_csv_scan": _events(f"SELECT {_RAW} FROM events_log"),
     "clean_time_range": _events(
         f'SELECT {_RAW} FROM events_log WHERE "timestamp" BETWEEN 1704672000 AND 1705449599'

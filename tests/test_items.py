@@ -125,7 +125,7 @@ def test_approximate_threshold_is_within_its_error(spark, sf_dir):
 
 def test_kpis_take_the_best_day(spark):
     log = _shop(spark)
-    kpis = lookups.kpi_summary(traffic.daily_uv_pv(log), funnels.behavior_distribution(log))
+    kpis = lookups.kpi_summary(log)
     assert rows_of(kpis) == [(25, 10, 12, 7, 58.33)]
     share = lookups.behavior_share(funnels.behavior_distribution(log), "buy")
     assert rows_of(share) == [("buy", 7, 28.0)]

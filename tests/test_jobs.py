@@ -7,7 +7,7 @@ from footfall.functions import rollup
 from footfall.operators import diagnostics, items, lookups, rfm
 from footfall.params import RANGE_START
 from footfall.plans.catalogue import _raw
-from footfall.sources import events_log, load_clean
+from footfall.sources import events_log, load_clean, read_log
 from tests.micro import rows_of
 
 
@@ -54,6 +54,24 @@ def rollup_of_dates(log):
     return rollup(log, "date")
 
 
+def test_check_saves_the_quality_reports(spark, tmp_path):
+    lines = [f"3000000000,1,1,pv,{RANGE_START}"] * 2 + ["x,1,1,pv,4000000000", "1,1,1,odd,z"]
+    (tmp_path / "raw.csv").write_text("\n".join(lines))
+    raw = read_log(spark, str(tmp_path / "raw.csv"))
+    assert raw.agg({"user_id": "max", "timestamp": "max"}).first()[:] == (3_000_000_000, 4 * 10**9)
+    jobs.check(raw, str(tmp_path / "out"))
+    saved = spark.read.json(str(tmp_path / "out" / "clean_report")).first().asDict()
+    assert saved == {
+        "raw_rows": 4,
+        "malformed_rows": 2,
+        "out_of_range_rows": 2,
+        "duplicate_rows": 1,
+        "kept_rows": 1,
+    }
+    for name in ("range_report", "null_counts", "behavior_domain", "duplicate_report"):
+        assert spark.read.json(str(tmp_path / "out" / name)).count() > 0
+
+
 def test_default_range_is_the_business_period(spark, tmp_path):
     (tmp_path / "raw.csv").write_text(f"1,1,1,pv,{RANGE_START}\n1,1,1,pv,1\n")
     jobs.clean_log(spark, str(tmp_path / "raw.csv"), str(tmp_path / "clean"))

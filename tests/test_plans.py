@@ -6,12 +6,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_points
 from footfall.operators import cleaning, items, lookups, rfm, sessions
 from footfall.sources import events_log, load_clean, orders_log, write_clean
+from footfall.plans import CATALOGUE as QUERIES
 from footfall.plans.catalogue import _raw
 
-QUERIES = entry_points.queries()
 
 
 def plan_of(frame, run=False):
@@ -54,7 +53,7 @@ def test_date_range_prunes_partitions_and_columns(spark, sf_dir, tmp_path):
     plan = plan_of(lookups.overview(lookups.in_dates(log, "2024-01-08", "2024-01-16")))
     partition_filters = re.search(r"PartitionFilters: \[(.*?)\]", plan).group(1)
     assert "date" in partition_filters
-    assert "ReadSchema: struct<user_id:int,behavior:string>" in plan
+    assert "ReadSchema: struct<user_id:bigint,behavior:string>" in plan
     item = plan_of(lookups.item_summary(log, 42))
     assert "EqualTo(item_id,42)" in re.search(r"PushedFilters: \[(.*?)\]", item).group(1)
 

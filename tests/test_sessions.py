@@ -59,12 +59,33 @@ def test_equal_times_are_ordered_by_the_tie_break(spark):
 
 
 @pytest.mark.parametrize("busy_rows", [0, 1, 100])
-def test_users_without_id_keep_their_rows(spark, busy_rows):
+def test_rows_without_a_user_are_in_no_session(spark, busy_rows):
     log = visits(spark, (None, "pv", 0), (None, "buy", 10), (3, "pv", 0))
     labelled = sessions.sessionize(log, busy_rows=busy_rows)
     assert labelled.count() == 3
-    assert {r.session_id for r in labelled.collect()} == {"1", "3_1"}
-    assert rows_of(sessions.behavior_paths(log, busy_rows=busy_rows)) == [("pv → buy", 1)]
+    assert {r.session_id for r in labelled.collect()} == {None, "3_1"}
+    assert rows_of(sessions.session_rollup(log, busy_rows=busy_rows)) == [("3_1", 1, 1)]
+    assert rows_of(sessions.behavior_paths(log, busy_rows=busy_rows)) == []
+
+
+@pytest.mark.parametrize("busy_rows", [0, 100])
+def test_no_gap_at_all(spark, busy_rows):
+    log = visits(spark, (1, "pv", 0), (1, "buy", 0), (1, "pv", 1))
+    rollup = sessions.session_rollup(log, 0, busy_rows=busy_rows)
+    assert sorted(rows_of(rollup)) == [("1_1", 2, 2), ("1_2", 1, 1)]
+    assert sessions.sessionize(log, 0, busy_rows=busy_rows).count() == 3
+
+
+def test_slots_of_a_very_busy_user_are_narrow(spark, monkeypatch):
+    """Many rows inside one wide slot are spread over slots of a second."""
+    rows = spark.range(30_000).selectExpr(
+        "id AS event_id", "1L AS user_id", "id * 9000 AS ts_us", "'pv' AS behavior"
+    )
+    monkeypatch.setattr(sessions, "ROWS_PER_SECOND", 1)
+    _, busy = sessions._split_busy(rows, 0, 300)
+    slots = busy.groupBy(sessions._slot(30, F.col("slot_width"))).count()
+    assert slots.count() > 80 and slots.agg(F.max("count")).first()[0] < 500
+    assert rows_of(sessions.session_rollup(rows, busy_rows=0)) == [("1_1", 30_000, 1)]
 
 
 def _random_events(seed):
@@ -108,8 +129,8 @@ def test_equal_to_a_plain_walk_over_each_user(spark, seed, slot_seconds, busy_ro
     assert {r.event_id: r.session_id for r in labelled.collect()} == labels
     assert labelled.columns == [*log.columns, "session_id"]
 
-    rollup = {r[0]: (r[1], r[2]) for r in rows_of(sessions.session_rollup(log))}
-    assert rollup == {
+    rolled = sessions.session_rollup(log, slot_seconds=slot_seconds, busy_rows=busy_rows)
+    assert {r[0]: (r[1], r[2]) for r in rows_of(rolled)} == {
         f"{user}_{number}": (len(walk), len({b for _, b in walk}))
         for (user, number), walk in walks.items()
     }
