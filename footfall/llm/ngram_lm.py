@@ -12,7 +12,9 @@ known context, an arc for every known n-gram with its log-probability, and a
 failure arc from each state to the next shorter context with the weight that
 is left for unseen words.  Probabilities are interpolated with a Dirichlet
 prior, P(w|h) = (c(hw) + m P(w|h')) / (c(h) + m), down to add-one unigrams, so
-each state's probabilities sum to one.
+each state's probabilities sum to one.  Of a few values of m, the one is taken
+under which the training tokens are likeliest when each is left out of its own
+counts; all are scored in one pass, so choosing costs no further one.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from footfall.sources import fresh_folder
 BLOCK_CHARS = 8_000_000
 END = 0x5BD1E9955BD1E995  # the end token; words hash to 64 bits of their own
 ORDER = 2
-PRIOR = 8.0
+PRIORS = (4.0, 64.0, 1024.0, 16384.0, 1048576.0)
 
 
 @dataclass
@@ -243,13 +245,62 @@ def traverse(automaton: Automaton, index: list[np.ndarray], totals: list[np.ndar
     return score
 
 
-def score(docs: DataFrame, train: Column, order: int = ORDER, prior: float = PRIOR) -> DataFrame:
+def left_out(index: list[np.ndarray], totals: list[np.ndarray], total: int, seen: int,
+             prior: float) -> np.ndarray:
+    """Log10 probability of every training token by the counts without itself."""
+    p = np.maximum(totals[0][index[0]], 1) / (total + seen)
+    for n in range(2, len(index) + 1):
+        at = np.flatnonzero(index[n - 1] >= 0)
+        count = np.maximum(totals[n - 1][index[n - 1][at]] - 1, 0)
+        context = np.maximum(totals[n - 2][index[n - 2][at - 1]] - 1, 0)
+        p[at] = (count + prior * p[at]) / (context + prior)
+    return np.log10(p)
+
+
+def _score_block(rows: pa.Table, replies: pa.Table, order: int, total: int, seen: int,
+                 priors: tuple[float, ...]) -> dict:
+    """Columns of a block's documents: base score, scores and left-out scores by prior."""
+    rows = _sorted_rows(rows)
+    replies = replies.sort_by([("n", "ascending"), ("part", "ascending")])
+    block = read_block(rows["text"].to_pylist(), rows["train"].to_numpy())
+    index, totals = [], []
+    asked, answered = np.array(replies["n"]), replies["totals"].to_pylist()
+    for n in range(1, order + 1):
+        index.append(_distinct(block, n)[1])
+        mine = [np.frombuffer(answered[i], "<u4") for i in np.flatnonzero(asked == n)]
+        totals.append(np.concatenate([*mine, np.empty(0, "<u4")]).astype(np.int64))
+    starts = np.cumsum(block.lengths) - block.lengths
+    counts = totals[0][index[0]]
+
+    def of_documents(tokens: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(tokens, starts)
+
+    scores, without = [], []
+    for prior in priors:
+        automaton = compile_block(totals, index, total, seen, prior)
+        scores.append(of_documents(traverse(automaton, index, totals)))
+        own = left_out(index, totals, total, seen, prior) if total else np.zeros(len(counts))
+        without.append(of_documents(np.where(block.train, own, 0.0)))
+    return {
+        "doc_id": rows["doc_id"],
+        "train": rows["train"],
+        "n_tokens": pa.array(block.lengths, pa.int64()),
+        "n_known": pa.array(of_documents((counts > 0).astype(np.int64))),
+        "base_score": pa.array(of_documents(np.log10((counts + 1) / (total + seen + 1)))),
+        "scores": pa.array(np.stack(scores, axis=1).tolist(), pa.list_(pa.float64())),
+        "without": pa.array(np.stack(without, axis=1).tolist(), pa.list_(pa.float64())),
+    }
+
+
+def score(
+    docs: DataFrame, train: Column, order: int = ORDER, priors: tuple[float, ...] = PRIORS
+) -> DataFrame:
     """Base and model log10 probabilities of every text.
 
     ``train`` marks the rows to learn from (NULL: not).  Returns ``doc_id``,
-    ``train``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and
-    ``score``; one row per row of ``docs``.  NULL and empty texts hold the end
-    token alone.  Without training rows every token is unknown.
+    ``train``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``,
+    ``score`` and ``prior``; one row per row of ``docs``.  NULL and empty texts
+    hold the end token alone.  Without training rows every token is unknown.
     """
     spark = docs.sparkSession
     dealt = _dealt(docs, train)
@@ -260,49 +311,35 @@ def score(docs: DataFrame, train: Column, order: int = ORDER, prior: float = PRI
     known = answers.where("block = -1 AND n = 1").agg(F.sum("sum"), F.sum("seen")).first()
     total, seen = int(known[0] or 0), int(known[1] or 0)
 
-    def run(key, rows, replies):
-        rows = _sorted_rows(rows)
-        replies = replies.sort_by([("n", "ascending"), ("part", "ascending")])
-        block = read_block(rows["text"].to_pylist(), rows["train"].to_numpy())
-        index, totals = [], []
-        asked = np.array(replies["n"])
-        answered = replies["totals"].to_pylist()
-        for n in range(1, order + 1):
-            index.append(_distinct(block, n)[1])
-            mine = [np.frombuffer(answered[i], "<u4") for i in np.flatnonzero(asked == n)]
-            totals.append(np.concatenate([*mine, np.empty(0, "<u4")]).astype(np.int64))
-        automaton = compile_block(totals, index, total, seen, prior)
-        counts = totals[0][index[0]]
-        starts = np.cumsum(block.lengths) - block.lengths
-        base = np.log10((counts + 1) / (total + seen + 1))
-        scored = traverse(automaton, index, totals)
-        return pa.table(
-            {
-                "doc_id": rows["doc_id"],
-                "train": rows["train"],
-                "n_tokens": pa.array(block.lengths, pa.int64()),
-                "n_known": pa.array(np.add.reduceat((counts > 0).astype(np.int64), starts)),
-                "train_tokens": pa.array([total] * rows.num_rows, pa.int64()),
-                "base_score": pa.array(np.add.reduceat(base, starts)),
-                "score": pa.array(np.add.reduceat(scored, starts)),
-            }
-        )
+    docs_type = docs.select("doc_id").limit(0).toArrow().schema.field(0).type
+    names = ["doc_id", "train", "n_tokens", "n_known", "base_score", "scores", "without"]
+    lists = pa.list_(pa.float64())
+    kinds = [docs_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), lists, lists]
 
-    def scored(key, rows, replies):
-        return run(key, rows, replies) if rows.num_rows else _EMPTY(docs_type)
+    def run(key, rows, replies):
+        if not rows.num_rows:
+            return pa.table([pa.array([], kind) for kind in kinds], names=names)
+        return pa.table(_score_block(rows, replies, order, total, seen, priors))
 
-    docs_type = docs.select("doc_id").limit(0).toArrow().schema.field(0).type
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (
-        f"doc_id {kind}, train boolean, n_tokens long, n_known long, train_tokens long, "
-        "base_score double, score double"
+        f"doc_id {kind}, train boolean, n_tokens long, n_known long, base_score double, "
+        "scores array<double>, without array<double>"
     )
     asked = answers.where("block >= 0").select("block", "n", "part", "totals")
-    return dealt.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(scored, schema)
-
-
-def _EMPTY(docs_type: pa.DataType) -> pa.Table:
-    """No rows, for a block of which only answers are there."""
-    kinds = [docs_type, pa.bool_(), *[pa.int64()] * 3, *[pa.float64()] * 2]
-    names = ["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    return pa.table([pa.array([], k) for k in kinds], names=names)
+    scored = dealt.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(run, schema)
+    path = fresh_folder(spark, "scores")
+    scored.write.parquet(path)
+    scored = spark.read.parquet(path)
+    sums = scored.agg(*(F.sum(F.get("without", F.lit(i))) for i in range(len(priors)))).first()
+    best = max(range(len(priors)), key=lambda i: (sums[i] or 0.0, i))
+    return scored.select(
+        "doc_id",
+        "train",
+        "n_tokens",
+        "n_known",
+        F.lit(total).cast("long").alias("train_tokens"),
+        "base_score",
+        F.get("scores", F.lit(best)).alias("score"),
+        F.lit(priors[best]).alias("prior"),
+    )

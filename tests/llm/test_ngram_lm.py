@@ -16,7 +16,7 @@ def tokens(text):
     return [w.encode().lower() for w in blank_words(text)] + ["end"]
 
 
-def brute(rows, learn, order=2, prior=ngram_lm.PRIOR):
+def brute(rows, learn, order=2, prior=4.0):
     counts = Counter()
     for doc_id, text in rows:
         if learn(doc_id):
@@ -58,7 +58,7 @@ def test_awkward_rows(spark, monkeypatch, order):
     frame = awkward(spark)
     rows = [(r.doc_id, r.text) for r in frame.collect()]
     check(
-        ngram_lm.score(frame, F.col("doc_id") != 5, order).collect(),
+        ngram_lm.score(frame, F.col("doc_id") != 5, order, (4.0,)).collect(),
         brute(rows, lambda i: i not in (None, 5), order),
     )
     assert ngram_lm.score(awkward(spark, []), F.lit(True)).count() == 0
@@ -80,6 +80,22 @@ def test_query(spark, sf_dir, monkeypatch):
     rows = [(r.doc_id, r.text) for r in documents(spark, sf_dir).collect()]
     got = op7_lm_score(spark, sf_dir).collect()
     assert all(r.held_out == (crc(r.doc_id) % 7 == 2) for r in got)
-    check(got, brute(rows, lambda i: crc(i) % 7 != 2))
-    better = sum(r.score > r.base_score for r in got if r.held_out and r.n_tokens > 50)
-    assert better > 0.9 * sum(r.held_out and r.n_tokens > 50 for r in got)
+    learn = documents(spark, sf_dir).select("doc_id", "text")
+    prior = ngram_lm.score(learn, ngram_lm.F.expr("crc32(cast(doc_id as string)) % 7 != 2")).first()
+    check(got, brute(rows, lambda i: crc(i) % 7 != 2, prior=prior.prior))
+    held = [r for r in got if r.held_out]
+    assert sum(r.score for r in held) >= 1.001 * sum(r.base_score for r in held)
+
+
+def test_prior_follows_the_text(spark):
+    """Words that follow each other get a small prior, words at random a large one."""
+    rng = np.random.default_rng(0)
+    names = [f"w{i}" for i in range(40)]
+    chained = [(i, " ".join(names[(i + j) % 40] for j in range(60))) for i in range(60)]
+    loose = [(i, " ".join(rng.choice(names, 60))) for i in range(60)]
+    schema = "doc_id long, text string"
+    chosen = [
+        ngram_lm.score(spark.createDataFrame(rows, schema), F.lit(True)).first().prior
+        for rows in (chained, loose)
+    ]
+    assert chosen[0] < chosen[1]
