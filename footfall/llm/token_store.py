@@ -10,7 +10,9 @@ reader of metadata reads alone.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -33,21 +35,32 @@ LAYOUT = {
 }
 
 
+def _byte_letters() -> dict[int, str]:
+    """Letters that byte-level vocabularies spell bytes with: printable ones as they are."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [byte for byte in range(256) if byte not in plain]
+    return {byte: chr(byte) for byte in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordEncoder:
     """Encodes words between blanks once each with the library and remembers them.
 
-    A space or line feed is always a border for the tokenizer, and neither its
-    normalisation nor its special strings reach over one.
+    A space or line feed is always a border for the tokenizer, and so is the
+    place between a letter and a full stop or comma that a blank follows;
+    neither its normalisation nor its special strings reach over one.  A word
+    of letters alone is one piece for it and goes straight to its BPE model.
     """
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.pieces = self.tokenizer.model.tokenize
         self.end = np.array([end_id], "<i4").tobytes()
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.split = re.compile("[ \n]+").split
+        self.split = re.compile(r"[ \n]+|(?<=[^\W\d_])(?=[.,][ \n])").split
+        self.letters = _byte_letters()
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """Ids of each text and the end id, as little-endian 32-bit integers."""
@@ -56,27 +69,38 @@ class WordEncoder:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
         missing = set().union(*words).difference(known)
-        for word in missing.intersection(older):
-            known[word] = older[word]
-        self._learn(list(missing.difference(older)))
+        again = {word: older[word] for word in missing if word in older}
+        known.update(again)
+        self._learn(missing.difference(again))
         return [b"".join(map(known.__getitem__, each)) + self.end for each in words]
 
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode words in one go, with a space between; offsets tell whose a token is."""
-        if not words:
+    def _learn(self, words: set[str]) -> None:
+        """Encode words: those of letters alone by the model, others in one joined text."""
+        rest = []
+        for word in words:
+            # two capitals have lower forms that depend on more than themselves
+            if word.isalpha() and is_normalized("NFC", word) and not _ODD.intersection(word):
+                small = word.lower()
+                if not small.isascii():
+                    small = small.encode().decode("latin-1").translate(self.letters)
+                ids = [token.id for token in self.pieces(small)]
+                self.known[word] = struct.pack(f"<{len(ids)}i", *ids)
+            else:
+                rest.append(word)
+        if not rest:
             return
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        found = self.tokenizer.encode(" ".join(rest), add_special_tokens=False)
         packed = np.array(found.ids, "<i4").tobytes()
         starts = np.array([start for start, _ in found.offsets], np.int64)
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        lengths = np.fromiter(map(len, rest), np.int64, len(rest))
         cuts = np.searchsorted(starts, np.cumsum(lengths + 1)).tolist()
         first = 0
-        for word, cut in zip(words, cuts):
+        for word, cut in zip(rest, cuts):
             self.known[word] = packed[4 * first : 4 * cut]
             first = cut
 
 
+_ODD = frozenset("Σİ")
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 

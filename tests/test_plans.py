@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from footfall.operators import cleaning, items, lookups, rfm, sessions
+from footfall.operators import cleaning, cohorts, items, lookups, rfm, sessions
 from footfall.sources import events_log, load_clean, orders_log, write_clean
 from footfall.plans import CATALOGUE as QUERIES
 from footfall.plans.catalogue import _raw
@@ -35,14 +35,14 @@ def test_no_cross_join_and_no_python(spark, sf_dir, no_broadcast, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "MapInPandas"):
         assert bad not in plan
-    # Only the reduced rows of the two-kinds-of-day query and the one-row
-    # summaries turned into rows are ever multiplied.
+    # Only one-row summaries turned into rows are ever multiplied.
     if "Expand" in plan:
         assert name in {
-            "weekday_vs_weekend",
             "quality_nulls",
+            "quality_nulls_csv",
             "session_stats",
             "session_stats_long_gap",
+            "session_stats_plain_log",
         }
 
 
@@ -130,6 +130,18 @@ def test_without_busy_users_one_window_pass_is_left(spark, sf_dir):
     assert plan.count("Window") == 1
 
 
+def test_ordinary_rows_are_shuffled_once_for_sessions(spark, sf_dir):
+    plan = plan_of(sessions.session_rollup(events_log(spark, sf_dir)), run=True)
+    assert "Union" not in plan and plan.count("Exchange hashpartitioning(user_id") == 1
+
+
+def test_cohorts_and_batch_lookups_shuffle_rows_once(spark, sf_dir, no_broadcast):
+    retention = plan_of(cohorts.retention(events_log(spark, sf_dir)))
+    assert retention.count("Exchange hashpartitioning(user_id") == 1
+    plan = plan_of(QUERIES["kpi_summary"](spark, sf_dir))
+    assert plan.count("FileScan") == 1
+
+
 def test_one_busy_user_leaves_few_rows_to_order(spark):
     """200,000 rows of one user within an hour reach the per-user order as 24 edge rows."""
     rows = spark.range(200000).selectExpr(

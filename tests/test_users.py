@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from footfall.functions import at_least, up_to
-from footfall.operators import cohorts, funnels, rfm, traffic
+from footfall.operators import cohorts, diagnostics, funnels, rfm, traffic
 from footfall.params import RFM
 from tests.micro import DAY, rows_of, visits
 
@@ -178,3 +178,19 @@ def test_hourly_rates_without_views(spark):
         (0, 0, 1, 0, 1, 1, 0.0, 0.0),
         (1, 2, 1, 2, 1, 3, 50.0, 50.0),
     ]
+
+
+def test_rows_without_a_user_are_never_a_user(spark):
+    log = visits(
+        spark, (None, "buy", 0), (None, "pv", 5), (1, "pv", 0), (1, "buy", 7), (None, "buy", DAY)
+    )
+    users = 1
+    assert sum(r.new_users for r in cohorts.retention(log).collect()) == users
+    assert sum(r.user_count for r in cohorts.active_days(log).collect()) == users
+    assert [r.user_id for r in rfm.rfm_detail(log).collect()] == [1]
+    assert rows_of(diagnostics.purchases_without_view(log)) == [(3, 2, 66.67)]
+
+
+def test_labels_may_hold_any_character(spark):
+    frame = spark.range(3).select(up_to("id", ((0, "it's"), (1, 'a "b"')), "\\rest").alias("x"))
+    assert rows_of(frame) == [("it's",), ('a "b"',), ("\\rest",)]
