@@ -21,8 +21,11 @@ from footfall.llm import (
     token_store,
 )
 from footfall.llm.common import crc_of_id, read
+from footfall.llm.oracle import ORACLE
 from footfall.sources import fresh_folder
 
+__all__ = ["ORACLE", "QUERIES"]
+
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -61,7 +64,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document; see ``decontam``."""
     docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
-    return decontam.digests(decontam.match(docs, benchmark))
+    return decontam.digests(decontam.match(docs, benchmark)).drop("n_near_items")
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,5 +137,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_store": op9_token_store,
     "op10_chat": op10_chat,
 }
-
-ORACLE: dict[str, str] = {}
