@@ -11,8 +11,10 @@ hundred more, whatever its counts.
 
 Signatures are banded.  In each bucket of a band, all members are compared with
 the member that shares most buckets with others (in a group of copies, the one
-closest to all); buckets whose members do not end up in one class are compared
-again across classes.  Candidates are checked on signatures and then on the
+closest to all).  Members of buckets that do not end up in one class are
+compared again in finer buckets of two bands, with the heads of the two leading
+classes there.  So pairs grow with the rows of the buckets, never with their
+square.  Candidates are checked on signatures and then on the
 exact multiset overlap of the texts; classes are connected components.  Texts
 that are equal word by word are one node from the start, so copies cost nothing.
 """
@@ -32,6 +34,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
+FINER = (1, 5, 11)  # how far on the second band of a finer bucket lies
 MARGIN = 0.22  # a signature may underestimate by this much (over five deviations)
 _BATCH = 128
 
@@ -156,8 +159,12 @@ def _kept(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.parquet(path)
 
 
-def buckets(signed: DataFrame) -> DataFrame:
-    """``node``, ``band``, ``key`` for every band of every distinct node."""
+def buckets(signed: DataFrame, steps: tuple[int, ...] = (0,)) -> DataFrame:
+    """``node``, ``band``, ``key``: a bucket for every band and step.
+
+    Step 0 is the band itself; step d joins it with the band d places on, so
+    its buckets hold only nodes that agree in both.
+    """
 
     def run(batches):
         for batch in batches:
@@ -167,16 +174,27 @@ def buckets(signed: DataFrame) -> DataFrame:
             key = np.zeros((n, BANDS), np.uint64)
             for r in range(ROWS):
                 key = mix(key, parts[:, :, r])
-            which = pa.array(np.repeat(np.arange(n), BANDS))
+            keys = [mix(key, np.roll(key, -d, axis=1)) if d else key for d in steps]
+            width = BANDS * len(steps)
+            which = pa.array(np.repeat(np.arange(n), width))
+            names = np.concatenate([np.arange(BANDS, dtype=np.int32) + BANDS * d for d in steps])
             yield pa.RecordBatch.from_arrays(
-                [batch["node"].take(which), pa.array(np.tile(np.arange(BANDS, dtype=np.int32), n)),
-                 pa.array(key.ravel().view(np.int64))],
+                [batch["node"].take(which), pa.array(np.tile(names, n)),
+                 pa.array(np.concatenate(keys, axis=1).ravel().view(np.int64))],
                 ["node", "band", "key"],
             )
 
     return signed.select("node", "sig").mapInArrow(run, "node binary, band int, key long")
 
 
+def _members(cells: DataFrame, label: str) -> DataFrame:
+    """Members of buckets of two or more, with ``rank``: the sizes of all a node's buckets."""
+    sizes = cells.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = _kept(cells.join(sizes, ["band", "key"]), label)
+    central = members.groupBy("node").agg(F.sum("size").alias("rank"))
+    return members.join(central, "node").drop("size")
+
+
 def _alike(pairs: DataFrame, signed: DataFrame, least: float) -> DataFrame:
     """Pairs whose signatures agree in enough registers."""
     left = signed.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"))
@@ -255,12 +273,8 @@ def link(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFra
         .agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"))
     )
     nodes = _kept(nodes, "nodes")
-    cells = buckets(nodes)
-    sizes = cells.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = _kept(cells.join(sizes, ["band", "key"]), "members")
-    central = members.groupBy("node").agg(F.sum("size").alias("rank"))
-    ranked = members.join(central, "node")
-    best = ranked.groupBy("band", "key").agg(F.max(F.struct("rank", "node")).alias("best"))
+    members = _kept(_members(buckets(nodes), "members"), "ranked")
+    best = members.groupBy("band", "key").agg(F.max(F.struct("rank", "node")).alias("best"))
     pairs = (
         members.join(best, ["band", "key"])
         .select(F.col("node").alias("a"), F.col("best.node").alias("b"))
@@ -276,26 +290,27 @@ def link(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFra
     edges = _kept(_verified(alike, texts, least), "links")
     rooted = _kept(components(edges), "roots")
 
-    # across classes: what shares a bucket but not yet a class
-    placed = members.join(rooted, "node", "left").select(
-        "band", "key", "node", F.coalesce("root", "node").alias("root")
-    )
-    split = (
-        placed.groupBy("band", "key")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("low <> high")
-        .select("band", "key")
-    )
-    rest = _kept(placed.join(split, ["band", "key"]), "rest")
-    own = rest.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = own.groupBy("band", "key").agg(F.max(F.struct("n", "root")).alias("main"))
-    rest = rest.join(main, ["band", "key"])
-    stray = rest.where("root <> main.root").select(
-        "band", "key", F.col("node").alias("a"), F.col("root").alias("root_a")
+    # nodes whose buckets hold more than one class are compared in finer buckets
+    def placed(frame: DataFrame) -> DataFrame:
+        return frame.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    classed = placed(members)
+    split = classed.groupBy("band", "key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    split = split.where("x <> y").select("band", "key")
+    rest = classed.join(split, ["band", "key"]).select("node").distinct()
+    finer = _members(buckets(nodes.join(rest, "node"), FINER), "finer")
+    finer = _kept(placed(finer), "rest")
+    heads = finer.groupBy("band", "key", "root").agg(F.max(F.struct("rank", "node")).alias("head"))
+    first = heads.groupBy("band", "key").agg(F.max(F.struct("head", "root")).alias("first"))
+    second = heads.join(first, ["band", "key"]).where("root <> first.root")
+    second = second.groupBy("band", "key").agg(F.max(F.struct("head", "root")).alias("second"))
+    both = first.join(second, ["band", "key"])
+    across = finer.join(both, ["band", "key"]).select(
+        F.col("node").alias("a"),
+        "root",
+        F.explode(F.array("first", "second")).alias("to"),
     )
-    other = rest.select("band", "key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    across = stray.join(other, ["band", "key"]).where("root_a <> root_b")
-    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    across = across.where("root <> to.root").select("a", F.col("to.head.node").alias("b")).distinct()
     more = _verified(_kept(_alike(across, nodes, least - MARGIN), "across"), texts, least)
     return signed, _kept(components(edges.unionByName(more)), "roots")
 
