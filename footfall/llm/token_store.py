@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from footfall.llm.bpe import Memory
 from footfall.llm.common import texts
 
 END_ID = 1
-CHUNK_LIMIT = 300_000  # encoded words that a process remembers; never shows in results
 # Row groups and pages; version 2 pages hold integers without a dictionary as deltas.
 LAYOUT = {
     "parquet.block.size": str(32 << 20),
@@ -43,7 +43,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 class WordEncoder:
-    """Encodes words between blanks once each with the library and remembers them.
+    """Encodes what stands between blanks with the library, and remembers it.
 
     A space or line feed is always a border for the tokenizer, and so is the
     place between a letter and a full stop or comma that a blank follows;
@@ -55,52 +55,35 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces = self.tokenizer.model.tokenize
         self.end = np.array([end_id], "<i4").tobytes()
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.split = re.compile(r"[ \n]+|(?<=[^\W\d_])(?=[.,][ \n])").split
+        self.parts = re.compile(r"\n+|(?<=[^\W\d_])(?=[.,](?:\n|$))").split
         self.letters = _byte_letters()
+        self.words = Memory(self._word)
+        self.chunks = Memory(self._chunk)
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """Ids of each text and the end id, as little-endian 32-bit integers."""
-        words = [self.split(text) for text in texts]
-        if len(self.known) >= CHUNK_LIMIT:
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        missing = set().union(*words).difference(known)
-        again = {word: older[word] for word in missing if word in older}
-        known.update(again)
-        self._learn(missing.difference(again))
-        return [b"".join(map(known.__getitem__, each)) + self.end for each in words]
-
-    def _learn(self, words: set[str]) -> None:
-        """Encode words: those of letters alone by the model, others in one joined text."""
-        rest = []
-        for word in words:
-            # two capitals have lower forms that depend on more than themselves
-            if word.isalpha() and is_normalized("NFC", word) and not _ODD.intersection(word):
-                small = word.lower()
-                if not small.isascii():
-                    small = small.encode().decode("latin-1").translate(self.letters)
-                ids = [token.id for token in self.pieces(small)]
-                self.known[word] = struct.pack(f"<{len(ids)}i", *ids)
-            else:
-                rest.append(word)
-        if not rest:
-            return
-        found = self.tokenizer.encode(" ".join(rest), add_special_tokens=False)
-        packed = np.array(found.ids, "<i4").tobytes()
-        starts = np.array([start for start, _ in found.offsets], np.int64)
-        lengths = np.fromiter(map(len, rest), np.int64, len(rest))
-        cuts = np.searchsorted(starts, np.cumsum(lengths + 1)).tolist()
-        first = 0
-        for word, cut in zip(rest, cuts):
-            self.known[word] = packed[4 * first : 4 * cut]
-            first = cut
+        known = self.chunks.__getitem__
+        return [b"".join(map(known, text.split(" "))) + self.end for text in texts]
+
+    def _chunk(self, chunk: str) -> bytes:
+        """What stands between two spaces: words, line feeds, and a stop at the end."""
+        return b"".join(map(self.words.__getitem__, self.parts(chunk)))
+
+    def _word(self, word: str) -> bytes:
+        # two capitals have lower forms that depend on more than themselves
+        if word.isalpha() and is_normalized("NFC", word) and not _ODD.intersection(word):
+            small = word.lower()
+            if not small.isascii():
+                small = small.encode().decode("latin-1").translate(self.letters)
+            ids = [token.id for token in self.tokenizer.model.tokenize(small)]
+        else:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}i", *ids)
 
 
 _ODD = frozenset("Σİ")
+
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
