@@ -32,7 +32,7 @@ from footfall.llm.common import texts
 # What a process remembers; no limit shows in results.
 STEP_LIMIT = 60_000  # deterministic steps, beyond which hypotheses are simulated
 PAIR_LIMIT = 1_000_000  # verdicts on neighbours
-PIECE_LIMIT = 200_000  # pieces and words
+PIECE_LIMIT = 400_000  # pieces and words
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
