@@ -17,7 +17,8 @@ from footfall.llm.line_rules import let
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 _FROM_RUN = r"(?:\G|(?<!{0}))"  # where a run starts, or right after the last match
-_BYTE = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+# Zeros alone, or a number of at most 255 after any zeros.
+_BYTE = "(?:0++(?![0-9])|0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?))"
 CONTEXT = 40  # code points on either side that are searched for context words
 
 

@@ -52,6 +52,15 @@ def test_base_spans_equal_plain_matching(spark, sf_dir):
         assert base(row) == brute(row.text), row.text[:100]
 
 
+def test_ips_with_a_part_that_is_zero(spark):
+    cases = ["10.0.0.1", "at 127.0.0.1, 192.168.0.1", "0.0.0.0", "000.00.0.000", "0.0.0.256"]
+    cases += ["1.2.3.0", "0" * 4000 + ".0.0.1", "1.0.0." + "0" * 4000 + "9", "00256.0.0.0", "0.1.2"]
+    frame = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    for row in pii.find(frame).collect():
+        assert base(row) == brute(row.text), row.text[:100]
+    assert [s.kind for s in pii.find(frame).where("doc_id = 0").first().spans] == ["ip"]
+
+
 def test_awkward_rows(spark):
     rows = pii.find(awkward(spark)).collect()
     assert len(rows) == 11
