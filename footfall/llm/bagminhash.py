@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import WordHashes, mix
+from footfall.llm.common import WordHashes, mix, text_key
 from footfall.sources import fresh_folder
 
 SHINGLE = 5
@@ -129,9 +129,10 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``node`` (128-bit hash of the words; NULL without any) and ``sig``."""
+    """``doc_id``, ``key`` (of the text), ``node`` (128-bit hash of the words; NULL without any), ``sig``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
+    rows = docs.select("doc_id", text_key().alias("key"), text)
 
     def run(batches):
         for batch in batches:
@@ -145,11 +146,12 @@ def sign(docs: DataFrame) -> DataFrame:
                     node[i] = xxhash.xxh3_128_digest(b" ".join(split[i]))
                     sig[i] = row.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], pa.array(node, pa.binary()), pa.array(sig, pa.binary())],
-                    ["doc_id", "node", "sig"],
-                )
+                    [part["doc_id"], part["key"], pa.array(node, pa.binary()),
+                     pa.array(sig, pa.binary())],
+                    ["doc_id", "key", "node", "sig"],
+                )
 
-    return rows.mapInArrow(run, f"doc_id {kind}, node binary, sig binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, key binary, node binary, sig binary")
 
 
 def _kept(frame: DataFrame, label: str) -> DataFrame:
@@ -270,9 +272,9 @@ def link(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFra
     nodes = (
         signed.where("node IS NOT NULL")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"))
+        .agg(F.min(F.struct("doc_id", "key")).alias("row"), F.first("sig").alias("sig"))
     )
-    nodes = _kept(nodes, "nodes")
+    nodes = _kept(nodes.select("node", "row.doc_id", "row.key", "sig"), "nodes")
     members = _kept(_members(buckets(nodes), "members"), "ranked")
     best = members.groupBy("band", "key").agg(F.max(F.struct("rank", "node")).alias("best"))
     pairs = (
@@ -282,10 +284,13 @@ def link(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFra
         .distinct()
     )
     alike = _kept(_alike(pairs, nodes, least - MARGIN), "alike")
-    wanted = members.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
-    # the text of each node that shares a bucket, under the id that stands for it
-    source = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    found = source.join(wanted, "doc_id").select("node", "text")
+    wanted = members.select("node").distinct().join(nodes.drop("sig"), "node")
+    wanted = wanted.select("node", F.col("doc_id").alias("id"), F.col("key").alias("of"))
+    # the text of each node that shares a bucket, from the row that stands for it
+    text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
+    source = docs.select("doc_id", text_key().alias("key"), text)
+    same = (F.col("key") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id"))
+    found = source.join(wanted, same).select("node", "text")
     texts = _kept(found.dropDuplicates(["node"]), "texts")
     edges = _kept(_verified(alike, texts, least), "links")
     rooted = _kept(components(edges), "roots")
@@ -315,42 +320,56 @@ def link(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFra
     return signed, _kept(components(edges.unionByName(more)), "roots")
 
 
-def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """``doc_id``, ``class_id`` (least id of its class) and ``class_size`` of every row.
-
-    Texts without a word (NULL, empty, punctuation alone) are classes of their
-    own, as is every text that nothing resembles.  A row with a NULL id joins
-    the class of its words.  Every row of a repeated id is in the class of its
-    own words.
-    """
+def _placed(docs: DataFrame, least: float) -> DataFrame:
+    """``doc_id``, ``key``, ``root``, ``class_id`` and ``class_size`` of every row."""
     signed, rooted = link(docs, least)
     placed = (
-        signed.select("doc_id", "node")
+        signed.select("doc_id", "key", "node")
         .where("node IS NOT NULL")
         .join(rooted, "node", "left")
-        .select("doc_id", F.coalesce("root", "node").alias("root"))
+        .select("doc_id", "key", F.coalesce("root", "node").alias("root"))
     )
     sized = placed.groupBy("root").agg(
         F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")
     )
     alone = signed.where("node IS NULL").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size")
-    )
-    return placed.join(sized, "root").select("doc_id", "class_id", "class_size").unionAll(alone)
+        "doc_id", "key", F.col("node").alias("root"), F.col("doc_id").alias("class_id"),
+        F.lit(1).cast("long").alias("class_size"),
+    )
+    return placed.join(sized, "root").select(alone.columns).unionAll(alone)
+
+
+def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """``doc_id``, ``class_id`` (least id of its class) and ``class_size`` of every row.
+
+    Texts without a word (NULL, empty, punctuation alone) are classes of their
+    own, as is every text that nothing resembles.  A row with a NULL id joins
+    the class of its words.  Every row of a repeated id is in the class of its
+    own words.
+    """
+    return _placed(docs, least).select("doc_id", "class_id", "class_size")
 
 
 def keep_one(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """One row of each class, the one with the least id, with all its columns.
 
-    Rows that repeat an id and its text are copies, of which one stays.  Rows
-    with a NULL id stay.
+    Rows are told apart by id and text: of a repeated id, only the rows whose
+    own text has a class go.  Rows that repeat an id and its text are copies,
+    of which one stays.  Rows with a NULL id stay.
     """
-    placed = _kept(classes(docs, least), "classes")
-    gone = placed.where("doc_id <> class_id").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == F.col("__id"), "left_anti")
-    repeated = placed.groupBy(F.col("doc_id").alias("__id")).count().where("count > 1").select("__id")
+    placed = _kept(_placed(docs, least).where("doc_id IS NOT NULL"), "classes")
+    row = F.struct("doc_id", "key")
+    first = placed.where("root IS NOT NULL").groupBy("root").agg(F.min(row).alias("first"))
+    gone = placed.join(first, "root").where(row != F.col("first"))
+    repeated = placed.groupBy("doc_id", "key").count().where("count > 1")
+    gone, repeated = (
+        x.select(F.col("doc_id").alias("__id"), F.col("key").alias("__of")).distinct()
+        for x in (gone, repeated)
+    )
+    keyed = docs.withColumn("__key", text_key())
+    same = (F.col("doc_id") == F.col("__id")) & (F.col("__key") == F.col("__of"))
+    kept = keyed.join(gone, same, "left_anti")
     if repeated.isEmpty():  # the common case needs no second look
-        return kept
-    same = kept["doc_id"] == F.col("__id")
+        return kept.drop("__key")
     once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, same, "left_anti").unionByName(once)
+    return kept.join(repeated, same, "left_anti").unionByName(once).drop("__key")

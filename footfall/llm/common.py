@@ -38,6 +38,11 @@ def crc_of_id(column: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
 
 
+def text_key() -> Column:
+    """128-bit hash of ``text`` (NULL as empty), which with the id tells rows apart."""
+    return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+
+
 def blocks(docs: DataFrame, chars: int) -> int:
     """How many blocks of about ``chars`` characters the texts make."""
     total = docs.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0

@@ -89,6 +89,22 @@ def test_copies_of_a_base_that_differ_from_each_other(spark):
     assert result(bagminhash.classes(frame)) == brute(rows)
 
 
+def test_rows_of_one_id_are_told_apart_by_text(spark):
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 9999, 80)) for _ in range(12)]
+    rows = [(1, texts[0] + " one"), (2, texts[0] + " two"), (2, texts[1]), (3, texts[1] + " three")]
+    rows += [(7, t) for t in texts[2:]] + [(8 + i, t + " more") for i, t in enumerate(texts[2:])]
+    rows += [(None, "null " + texts[5] + " x y z"), (99, "alone at last")]
+    far = " ".join(f"v{x}" for x in rng.integers(0, 9999, 80))
+    rows += [(None, far + " a"), (None, far + " b")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = bagminhash.classes(frame)
+    assert result(got) == brute(rows)
+    assert got.where("doc_id IS NULL AND class_id IS NULL AND class_size = 2").count() == 2
+    kept = sorted(((r.doc_id, r.text) for r in bagminhash.keep_one(frame).collect()), key=str)
+    assert kept == sorted([r for r in rows if r[0] in (None, 1, 7, 99) or r == (2, texts[1])], key=str)
+
+
 def test_query(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in documents(spark, sf_dir).collect()]
     assert result(op4_near_dedup(spark, sf_dir)) == brute(rows)
