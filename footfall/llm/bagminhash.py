@@ -13,10 +13,14 @@ Signatures are banded.  In each bucket of a band, all members are compared with
 the member that shares most buckets with others (in a group of copies, the one
 closest to all).  Members of buckets that do not end up in one class are
 compared again in finer buckets of two bands, with the heads of the two leading
-classes there.  So pairs grow with the rows of the buckets, never with their
-square.  Candidates are checked on signatures and then on the
-exact multiset overlap of the texts; classes are connected components.  Texts
-that are equal word by word are one node from the start, so copies cost nothing.
+classes there.  These rounds join most of each class.  Then no pair is left
+out: members of buckets that still hold several classes are compared with all
+members of other classes that share one of their rarest shingles.  Two texts as
+alike as asked must share one in a prefix of either, in any common order, so
+what this leaves uncompared cannot be alike.  Candidates are checked on
+signatures and then on the exact multiset overlap of the texts; classes are
+connected components.  Texts that are equal word by word are one node from the
+start, so copies cost nothing.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 FINER = (1, 5, 11)  # how far on the second band of a finer bucket lies
 MARGIN = 0.22  # a signature may underestimate by this much (over five deviations)
+CELLS = 22  # bits of the table of shingle frequencies, which sets the order of shingles
+_SLACK = 1e-9  # rounding of floats must not shorten a prefix
 _BATCH = 128
 
 # Everything below 0x80 that is not a letter or digit separates words; A-Z are lowered.
@@ -234,6 +240,103 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a binary, b binary")
 
 
+def _cell(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - CELLS)).astype(np.int64)
+
+
+def _frequencies(texts: DataFrame) -> np.ndarray:
+    """Texts that hold a shingle of each cell: never fewer than hold the shingle itself."""
+
+    def run(batches):
+        count = np.zeros(1 << CELLS, np.int64)
+        for batch in batches:
+            for text in batch["text"]:
+                np.add.at(count, _cell(bag(words_of(text.as_py()))[0]), 1)
+        cells = np.flatnonzero(count)
+        for start in range(0, len(cells), 1 << 16):
+            part = cells[start : start + (1 << 16)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.int32()), pa.array(count[part])], ["cell", "n"]
+            )
+
+    found = texts.select("text").mapInArrow(run, "cell int, n long")
+    found = found.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << CELLS, np.int64)
+    out[found["cell"].to_numpy()] = found["n"].to_numpy()
+    return out
+
+
+def _prefixes(texts: DataFrame, least: float) -> DataFrame:
+    """Shingles of each text, rarest first, one of which every alike text must share.
+
+    ``shingle``, ``node``, ``root``, ``n`` (weight of the bag), ``at`` (weight
+    before the shingle) and ``short``: whether it lies in the shorter prefix
+    that is enough where the other text is no smaller.  A shingle of one text
+    alone is left out.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(_frequencies(texts))
+
+    def run(batches):
+        frequency = shared.value
+        for batch in batches:
+            names, which, weights, ats, shorts = [], [], [], [], []
+            for i, text in enumerate(batch["text"]):
+                shingles, counts = bag(words_of(text.as_py()))
+                often = frequency[_cell(shingles)]
+                order = np.lexsort((shingles, often))
+                counts = counts[order]
+                n = int(counts.sum())
+                at = np.cumsum(counts) - counts
+                long = n - np.ceil(least * n - _SLACK) + 1
+                take = np.flatnonzero((at < long) & (often[order] > 1))
+                names.append(shingles[order[take]])
+                which.append(np.full(len(take), i))
+                weights.append(np.full(len(take), n))
+                ats.append(at[take])
+                shorts.append(at[take] < n - np.ceil(2 * least / (1 + least) * n - _SLACK) + 1)
+            if batch.num_rows:
+                of = pa.array(np.concatenate(which))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(names).view(np.int64)), batch["node"].take(of),
+                     batch["root"].take(of), pa.array(np.concatenate(weights)),
+                     pa.array(np.concatenate(ats)), pa.array(np.concatenate(shorts))],
+                    ["shingle", "node", "root", "n", "at", "short"],
+                )
+
+    return texts.select("node", "root", "text").mapInArrow(
+        run, "shingle long, node binary, root binary, n long, at long, short boolean"
+    )
+
+
+def _across(texts: DataFrame, least: float) -> DataFrame:
+    """All pairs of texts of different classes that may be alike.
+
+    Classes of a shingle meet first and then their members, so a large class
+    costs its members times the others, never its own square.
+    """
+    every = _kept(_prefixes(texts, least), "prefixes")
+    many = every.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    every = _kept(every.join(many.where("x <> y").select("shingle"), "shingle"), "shared")
+    heads = every.groupBy("shingle", "root").agg(F.max("short").alias("short"))
+    other = heads.where("short").select("shingle", F.col("root").alias("other"))
+    met = heads.select("shingle", "root").join(other, "shingle").where("root <> other")
+    a = every.select("shingle", "root", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"))
+    b = every.where("short").select(
+        "shingle", F.col("root").alias("other"), F.col("node").alias("b"),
+        F.col("n").alias("n_b"), F.col("at").alias("at_b"),
+    )
+    need = (F.col("n_a") + F.col("n_b")) * (least / (1 + least)) - _SLACK
+    return (
+        met.join(a, ["shingle", "root"])
+        .join(b, ["shingle", "other"])
+        .where((F.col("n_a") > F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") > F.col("b"))))
+        .where(F.col("n_b") >= F.col("n_a") * least - _SLACK)
+        .where(F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= need)
+        .select("a", "b")
+        .distinct()
+    )
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root`` (least node of its component) for every node of an edge list.
 
@@ -295,16 +398,20 @@ def link(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFra
     edges = _kept(_verified(alike, texts, least), "links")
     rooted = _kept(components(edges), "roots")
 
-    # nodes whose buckets hold more than one class are compared in finer buckets
-    def placed(frame: DataFrame) -> DataFrame:
+    def placed(frame: DataFrame, rooted: DataFrame) -> DataFrame:
         return frame.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
-    classed = placed(members)
-    split = classed.groupBy("band", "key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-    split = split.where("x <> y").select("band", "key")
-    rest = classed.join(split, ["band", "key"]).select("node").distinct()
+    def strays(rooted: DataFrame) -> DataFrame:
+        """``node`` and ``root`` of all members of buckets that hold more than one class."""
+        classed = placed(members, rooted)
+        split = classed.groupBy("band", "key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+        split = split.where("x <> y").select("band", "key")
+        return classed.join(split, ["band", "key"]).select("node", "root").distinct()
+
+    # they are compared in finer buckets
+    rest = strays(rooted).select("node")
     finer = _members(buckets(nodes.join(rest, "node"), FINER), "finer")
-    finer = _kept(placed(finer), "rest")
+    finer = _kept(placed(finer, rooted), "rest")
     heads = finer.groupBy("band", "key", "root").agg(F.max(F.struct("rank", "node")).alias("head"))
     first = heads.groupBy("band", "key").agg(F.max(F.struct("head", "root")).alias("first"))
     second = heads.join(first, ["band", "key"]).where("root <> first.root")
@@ -317,6 +424,13 @@ def link(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFra
     )
     across = across.where("root <> to.root").select("a", F.col("to.head.node").alias("b")).distinct()
     more = _verified(_kept(_alike(across, nodes, least - MARGIN), "across"), texts, least)
+    edges = _kept(edges.unionByName(more), "links")
+    rooted = _kept(components(edges), "roots")
+
+    # and whatever still has another class beside it with all of the other classes
+    left = _kept(strays(rooted).join(texts, "node"), "strays")
+    across = _kept(_alike(_across(left, least), nodes, least - MARGIN), "across")
+    more = _verified(across, texts, least)
     return signed, _kept(components(edges.unionByName(more)), "roots")
 
 

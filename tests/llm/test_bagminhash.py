@@ -89,6 +89,28 @@ def test_copies_of_a_base_that_differ_from_each_other(spark):
     assert result(bagminhash.classes(frame)) == brute(rows)
 
 
+def form_letters(n, pairs, seed=5):
+    """Texts round one passage, about 0.75 alike; the first ``pairs`` twos of them over 0.8."""
+    rng = np.random.default_rng(seed)
+    passage = [f"p{i}" for i in range(300)]
+    rows = []
+    for i in range(n):
+        own = [f"o{i}x{k}" for k in range(48)]
+        if i < 2 * pairs:
+            own[:20] = [f"s{i // 2}x{k}" for k in range(20)]
+        at = int(rng.integers(1, 3))
+        rows.append((i, " ".join(passage[at:] + own)))
+    return rows
+
+
+def test_borderline_pairs_in_a_bucket_of_many_classes(spark):
+    rows = form_letters(240, 40)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute(rows)
+    assert sum(a != b for a, b in expected) == 40
+    assert result(bagminhash.classes(frame)) == expected
+
+
 def test_rows_of_one_id_are_told_apart_by_text(spark):
     rng = np.random.default_rng(6)
     texts = [" ".join(f"w{x}" for x in rng.integers(0, 9999, 80)) for _ in range(12)]
