@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm.common import runs, texts
+from footfall.llm.common import runs, text_key, texts
 from footfall.sources import fresh_folder
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -309,36 +309,47 @@ def _by_document(tests: Tests, starts: np.ndarray, where: list, what: list) -> d
 
 
 
-def match(docs: DataFrame, benchmark: DataFrame, near: bool = True) -> DataFrame:
-    """Exact and near matches of every document with the items of a benchmark.
-
-    One row per row of ``docs``: ``doc_id``, ``n_words``, ``hits``, ``items``,
-    ``near_items`` (sorted).  NULL and empty texts have no words, an empty
-    benchmark matches nothing, and rows with equal ids stay apart as long as
-    the windows fit into one block; beyond it, rows are put together by id.
-    Documents and items may have any further columns.
-    """
+def _matched(docs: DataFrame, benchmark: DataFrame, near: bool) -> DataFrame:
+    """``match`` with the key of each row's text: rows are told apart by both."""
     spark = docs.sparkSession
+    keyed = docs.select(F.struct("doc_id", text_key().alias("key")).alias("doc_id"), "text")
     parts = []
     for rows in _blocks(windows(benchmark)):
         tests = _tests(rows)
         path = fresh_folder(spark, "postings")
-        build(docs, tests.vocabulary, path)
-        parts.append(search(spark, path, tests, near))
+        build(keyed, tests.vocabulary, path)
+        found = search(spark, path, tests, near)
+        parts.append(found.select("doc_id.*", "n_words", "hits", "items", "near_items"))
     if len(parts) == 1:
         return parts[0]
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
-    gathered = every.groupBy("doc_id").agg(
+    # equal rows have equal matches in a block, so a group holds no more than blocks
+    gathered = every.groupBy("doc_id", "key").agg(
         F.max("n_words").alias("n_words"),
-        F.flatten(F.collect_list("hits")).alias("hits"),
+        F.flatten(F.collect_set("hits")).alias("hits"),
         *(
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+            F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c)
             for c in ("items", "near_items")
         ),
     )
-    return gathered.withColumn("hits", _merged(F.array_sort("hits")))
+    gathered = gathered.withColumn("hits", _merged(F.array_sort("hits")))
+    gathered = gathered.withColumnsRenamed({"doc_id": "__id", "key": "__of"})
+    rows = spark.read.parquet(path).select(F.explode("doc_id").alias("row")).select("row.*")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__of"))
+    return rows.join(gathered, same).drop("__id", "__of")
+
+
+def match(docs: DataFrame, benchmark: DataFrame, near: bool = True) -> DataFrame:
+    """Exact and near matches of every document with the items of a benchmark.
+
+    One row per row of ``docs``: ``doc_id``, ``n_words``, ``hits``, ``items``,
+    ``near_items`` (sorted).  NULL and empty texts have no words, an empty
+    benchmark matches nothing, and rows with equal ids stay apart.  Documents
+    and items may have any further columns.
+    """
+    return _matched(docs, benchmark, near).drop("key")
 
 
 def _merged(hits):
@@ -374,8 +385,9 @@ def digests(matches: DataFrame) -> DataFrame:
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id has no exact match; NULL ids are kept if their text has none."""
-    found = match(docs, benchmark, near=False).where(F.size("hits") > 0).select(
-        F.col("doc_id").alias("__hit")
-    )
-    return docs.join(found.distinct(), docs["doc_id"].eqNullSafe(F.col("__hit")), "left_anti")
+    """The rows of ``docs`` whose own text has no exact match, whatever their id."""
+    found = _matched(docs, benchmark, near=False).where(F.size("hits") > 0)
+    found = found.select(F.col("doc_id").alias("__hit"), F.col("key").alias("__of")).distinct()
+    keyed = docs.withColumn("__key", text_key())
+    same = F.col("doc_id").eqNullSafe(F.col("__hit")) & (F.col("__key") == F.col("__of"))
+    return keyed.join(found, same, "left_anti").drop("__key")

@@ -79,6 +79,22 @@ def test_keep_uncontaminated(spark):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 7, 8, 9]
 
 
+REPEATED = [(1, "so word for word it is"), (1, "clean"), (1, "so word for word it is"), (1, "zzz zzz"),
+            (None, "clean"), (None, "ZZZ here"), (None, "also word for word"), (None, None),
+            (None, "clean"), (2, None), (2, "")]
+
+
+@pytest.mark.parametrize("block", [1, 2, 10**6])
+def test_rows_of_one_id_stay_apart(spark, monkeypatch, block):
+    monkeypatch.setattr(decontam, "BLOCK_WINDOWS", block)
+    frame = awkward(spark, REPEATED).repartition(3)
+    assert result(decontam.digests(decontam.match(frame, items(spark)))) == brute(REPEATED, ITEMS)
+    kept = decontam.keep_uncontaminated(frame, items(spark))
+    clean = [r for r in REPEATED if not brute([r], ITEMS)[0][-1]]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(clean, key=str)
+    assert kept.columns == frame.columns
+
+
 def test_query(spark, sf_dir):
     docs = [(r.doc_id, r.text) for r in documents(spark, sf_dir).collect()]
     bench = [(r.item_id, r.text) for r in documents(spark, sf_dir, "benchmark").collect()]
