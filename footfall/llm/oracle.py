@@ -83,8 +83,67 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum({_MARKS} + {_escaped('role')} + {_escaped('text')}) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id"""
 
+PREFIX_TRIE = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id
+                            ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                                     md5(coalesce(text, ''))) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+crc AS (
+  SELECT i, r8 AS v FROM (
+    SELECT i, list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, _:
+             CASE WHEN a % 2 = 1 THEN xor(3988292384, a // 2) ELSE a // 2 END) AS r8
+    FROM range(256) u(i))),
+table_of AS (SELECT list(v ORDER BY i) AS v FROM crc),
+c AS (
+  SELECT conv_id, CAST(xor(4294967295, list_reduce(
+           list_concat([4294967295],
+             list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1),
+                            lambda i: CAST(ascii(CAST(conv_id AS VARCHAR)[i]) AS BIGINT))),
+           lambda s, b: xor(s // 256, v[xor(s % 256, b) + 1]))) % 9
+         AS BIGINT) AS h
+  FROM (SELECT DISTINCT conv_id FROM t), table_of),
+r AS (
+  SELECT c.conv_id, t.k, t.role, t.text FROM c JOIN t
+    ON t.conv_id = c.conv_id - ((c.conv_id % 5) + 5) % 5 AND t.k <= c.h
+  UNION ALL
+  SELECT c.conv_id, t.k, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.k > c.h),
+n AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY k) AS d, role, text,
+         octet_length(encode(text)) AS size
+  FROM r),
+p AS (
+  SELECT conv_id, d, size,
+         list(length(role) || ':' || role || sha256(text))
+           OVER (PARTITION BY conv_id ORDER BY d ROWS UNBOUNDED PRECEDING) AS path
+  FROM n
+  UNION ALL SELECT conv_id, 0, 0, [] FROM c),
+last AS (SELECT conv_id, max(d) AS d FROM p GROUP BY conv_id),
+node AS (
+  SELECT p.path, p.d AS depth, min(p.conv_id) AS conv_id, count(*) AS n_convs,
+         any_value(p.size) AS size,
+         sha256(coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id)
+                           FILTER (last.d = p.d), '')) AS ends_sha256
+  FROM p JOIN last USING (conv_id) GROUP BY p.path, p.d),
+kids AS (
+  SELECT list_slice(path, 1, depth - 1) AS path, count(*) AS n_children
+  FROM node WHERE depth > 0 GROUP BY 1),
+every AS (
+  SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (path)),
+above AS (
+  SELECT list_slice(path, 1, up) AS path, CAST(count(*) FILTER (n_children = 0) AS BIGINT) AS n_leaves,
+         CAST(sum((n_convs - 1) * size) AS BIGINT) AS saved_tokens
+  FROM (SELECT path, n_children, n_convs, size, unnest(range(0, depth + 1)) AS up FROM every)
+  GROUP BY 1)
+SELECT e.conv_id, e.depth, q.conv_id AS parent_conv_id, e.n_convs, e.n_children,
+       above.n_leaves, above.saved_tokens, e.ends_sha256
+FROM every e JOIN above USING (path)
+LEFT JOIN node q ON e.depth > 0 AND q.path = list_slice(e.path, 1, e.depth - 1)"""
+
 ORACLE = {
     "op3_decontaminate": DECONTAMINATE,
     "op4_near_dedup": NEAR_DEDUP,
     "op10_chat": CHAT,
+    "op13_prefix_trie": PREFIX_TRIE,
 }

@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm import (
+    align,
     bagminhash,
     bpe,
     chat,
     decontam,
     line_rules,
     ngram_lm,
+    packing,
     pii,
+    prefix_trie,
     quality_fm,
     secrets,
     token_store,
@@ -29,6 +32,8 @@ __all__ = ["ORACLE", "QUERIES"]
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 WORDS = public_tokenizers.path("word_bpe_49k.json")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 SCORE = 0.3
 OK = "</s>[INST] ok [/INST]"
 
@@ -125,6 +130,21 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.render(chat.fold(chat.as_events(every))))
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers over every document; see ``align``."""
+    return align.link_counts(read(spark, sf_dir, "documents"), BYTES, PIECES)
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of at most 2048 ids; see ``packing``."""
+    return packing.digests(packing.pack(read(spark, sf_dir, "documents"), BYTES))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shared beginnings of all rebuilt conversations; see ``prefix_trie``."""
+    return prefix_trie.prefix_nodes(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_quality": op2_quality,
@@ -136,4 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_token_store": op9_token_store,
     "op10_chat": op10_chat,
+    "op11_align": op11_align,
+    "op12_packing": op12_packing,
+    "op13_prefix_trie": op13_prefix_trie,
 }
