@@ -7,9 +7,13 @@ depth with their figures; the last turn of each is then stripped and the next
 depth regroups what is left.  So every node is met once, when all of its subtree
 has been added up, and the rows of a step are nodes, not conversations.
 
+Depths that few conversations reach are peeled in one step, each subtree in one
+task; the others take a step each.  So the steps do not follow the one longest
+conversation, and a task never gets more than ``FEW`` conversations this way.
+
 Paths are kept as chained digests of 16 bytes a turn, so texts are read once and
-not moved.  Each depth is written to a table of the shared folder and read back,
-which keeps plans short and lets a lost executor cost one depth.
+not moved.  Each step is written to a table of the shared folder and read back,
+which keeps plans short and lets a lost executor cost one step.
 """
 
 from __future__ import annotations
@@ -23,6 +27,8 @@ from pyspark.sql import functions as F
 from footfall.sources import fresh_folder
 
 KEY = 16  # bytes of a digest
+FEW = 2000  # conversations that are peeled below one depth in one step
+LEAST = 8  # depths that take a step each, whoever reaches them
 _LIST_BYTES = 1 << 16  # ids of a list that are joined before they meet
 
 
@@ -92,6 +98,7 @@ _LEVEL = (
     "path binary, conv_id long, n_convs long, n_children long, n_leaves long, "
     "saved_tokens long, sizes array<long>"
 )
+_DEEP = ["depth", "key", "parent", *(c.split()[0] for c in _LEVEL.split(", "))]
 
 
 def _ended() -> list[Column]:
@@ -119,13 +126,12 @@ def _stripped() -> list[Column]:
 
 def _merged(rows: DataFrame) -> DataFrame:
     """One row per path; all rows of a path add up on the map side first."""
-    node = rows.groupBy("path").agg(
+    node = rows.groupBy("path", "sizes").agg(
         F.min("conv_id").alias("conv_id"),
         F.sum("n_convs").alias("n_convs"),
         F.sum("n_children").alias("n_children"),
         F.greatest(F.sum("n_leaves"), F.lit(1)).alias("n_leaves"),
         F.sum("saved_tokens").alias("below"),
-        F.any_value("sizes").alias("sizes"),
     )
     last = F.coalesce(F.try_element_at("sizes", F.lit(-1)), F.lit(0))
     return node.select(
@@ -141,6 +147,50 @@ def _key(at: Column) -> Column:
     )
 
 
+def _deep_nodes(deep: DataFrame, above: int) -> DataFrame:
+    """Nodes deeper than ``above`` of few conversations, peeled subtree by subtree.
+
+    A node has its own and its parent's digest; those that survive into depth
+    ``above`` also have path and sizes.
+    """
+
+    def peel(table: pa.Table) -> pa.Table:
+        rows = table.select(["conv_id", "depth", "path", "sizes"]).to_pylist()
+        ended = {}
+        for row in rows:
+            ended.setdefault(row["depth"], []).append(row)
+        nodes, alive, depth = [], {}, max(ended)
+        while depth > above:
+            at, here = slice((depth - 1) * KEY, depth * KEY), {}
+            joining = [(r, r["conv_id"], 1, 0, 0, 0) for r in ended.get(depth, ())]
+            for row, conv, n, kids, leaves, saved in joining + list(alive.values()):
+                _, conv_, n_, kids_, leaves_, saved_ = here.get(
+                    row["path"][at], (row, conv, 0, 0, 0, 0)
+                )
+                here[row["path"][at]] = (
+                    row, min(conv, conv_), n + n_, kids + kids_, leaves + leaves_, saved + saved_
+                )
+            alive = {}
+            for key, (row, conv, n, kids, leaves, saved) in here.items():
+                leaves, saved = max(leaves, 1), saved + (n - 1) * row["sizes"][depth - 1]
+                alive[key] = (row, conv, n, 1, leaves, saved)
+                top = depth == above + 1
+                nodes.append((
+                    depth, key, row["path"][at.start - KEY : at.start] if depth > 1 else b"",
+                    row["path"][: at.stop] if top else None, conv, n, kids, leaves, saved,
+                    row["sizes"][:depth] if top else None,
+                ))
+            # survivors are children of what they are stripped to
+            depth -= 1
+        types = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), *[pa.int64()] * 5,
+                 pa.list_(pa.int64()))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*nodes), types)], names=_DEEP)
+
+    subtree = F.substring("path", 1, above * KEY)
+    schema = f"depth int, key binary, parent binary, {_LEVEL}"
+    return deep.withColumn("subtree", subtree).groupBy("subtree").applyInArrow(peel, schema)
+
+
 def _lists_of_ended(ended: DataFrame) -> DataFrame:
     """``key`` and SHA-256 of the ascending ids of the conversations that end at a node.
 
@@ -205,7 +255,19 @@ def _lists_of_ended(ended: DataFrame) -> DataFrame:
     )
 
 
-def trie(conversations: DataFrame) -> DataFrame:
+def _steps(lengths: dict[int, int], few: int, least: int) -> int:
+    """Greatest depth that takes a step of its own; -1 where there is nothing."""
+    if not lengths:
+        return -1
+    deepest, longer = max(lengths), 0
+    for depth in range(deepest, least, -1):
+        longer += lengths.get(depth, 0)
+        if longer > few:
+            return depth
+    return min(deepest, least)
+
+
+def trie(conversations: DataFrame, few: int = FEW, least: int = LEAST) -> DataFrame:
     """One row per node of the trie of ``conv_id`` and ``turns`` (digest, bytes).
 
     ``conv_id`` is the smallest conversation that begins with the node's turns,
@@ -216,32 +278,40 @@ def trie(conversations: DataFrame) -> DataFrame:
     ``ends_sha256`` the digest of the ids of conversations that end at it.
 
     No conversations give no rows; conversations without turns are members of
-    the root.  A repeated conversation counts as often as it is there.  As many
-    steps are taken as the longest conversation has turns, and a path is carried
-    whole, so a node costs ``KEY`` + 8 bytes a turn.
+    the root.  A repeated conversation counts as often as it is there.  A path
+    of the upper depths is carried whole, so a node costs ``KEY`` + 8 bytes a
+    turn there.
     """
     spark = conversations.sparkSession
     folder = fresh_folder(spark, "trie")
     _paths(conversations).write.partitionBy("depth").parquet(f"{folder}/ended")
     schema = "conv_id long, path binary, sizes array<long>, depth int"
     ended = spark.read.schema(schema).parquet(f"{folder}/ended")
-    deepest = ended.agg(F.max("depth")).first()[0]
-    below = None
-    for depth in range(-1 if deepest is None else deepest, -1, -1):
+    # one row per length that occurs
+    lengths = {r["depth"]: r["count"] for r in ended.groupBy("depth").count().collect()}
+    from_there = _steps(lengths, few, least)
+
+    deep_schema = f"depth int, key binary, parent binary, {_LEVEL}"
+    _deep_nodes(ended.where(F.col("depth") > from_there), from_there).write.parquet(
+        f"{folder}/deep"
+    )
+    deep = spark.read.schema(deep_schema).parquet(f"{folder}/deep")
+    below = deep.where(F.col("depth") == from_there + 1)
+    for depth in range(from_there, -1, -1):
         here = ended.where(F.col("depth") == depth).select(*_ended())
-        if below is not None:
-            here = here.unionByName(below.select(*_stripped()))
+        here = here.unionByName(below.select(*_stripped()))
         path = f"{folder}/nodes/depth={depth}"
         _merged(here).write.parquet(path)
         below = spark.read.schema(_LEVEL).parquet(path)
-    if deepest is None:
+    if from_there < 0:
         nodes = spark.createDataFrame([], f"{_LEVEL}, depth int")
     else:
         nodes = spark.read.schema(f"{_LEVEL}, depth int").parquet(f"{folder}/nodes")
     depth = F.col("depth")
-    keyed = nodes.select(
-        "*", _key(depth).alias("key"), F.when(depth > 0, _key(depth - 1)).alias("parent")
-    )
+    keyed = nodes.withColumns(
+        {"key": _key(depth), "parent": F.when(depth > 0, _key(depth - 1))}
+    ).drop("path", "sizes")
+    keyed = keyed.unionByName(deep.drop("path", "sizes"))
     parents = keyed.select(F.col("key").alias("above"), F.col("conv_id").alias("parent_conv_id"))
     lists = _lists_of_ended(ended)
     return (

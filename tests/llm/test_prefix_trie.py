@@ -5,6 +5,8 @@ import random
 import zlib
 from collections import defaultdict
 
+import pytest
+
 from footfall.llm import prefix_trie
 from footfall.llm.queries import op13_prefix_trie
 from tests.llm.frames import documents
@@ -59,6 +61,26 @@ def test_random_conversations_equal_plain_sets(spark):
     assert found(spark, rows) == by_hand(rows)
 
 
+@pytest.mark.parametrize("few, least", [(0, 0), (3, 0), (10**6, 0), (3, 2), (10**6, 3)])
+def test_steps_do_not_show(spark, few, least):
+    rnd = random.Random(6)
+    rows = []
+    for c in range(0, 300, 5):
+        length = 30 if c in (50, 100, 150) else rnd.randint(1, 7)
+        rows += [(c, t, "user", "a" if t > 4 else rnd.choice("ab")) for t in range(length)]
+    frame = spark.createDataFrame([(*r, "x", 3) for r in rows], SCHEMA)
+    got = prefix_trie.trie(prefix_trie.rebuilt(frame), few, least).collect()
+    assert sorted(map(tuple, got), key=repr) == by_hand(rows)
+
+
+def test_deep_levels_take_one_step():
+    lengths = {2: 5000, 8: 4000, 200: 1, 399: 3}
+    assert prefix_trie._steps(lengths, 2000, 8) == 8
+    assert prefix_trie._steps(lengths | {60: 3000}, 2000, 8) == 60
+    assert prefix_trie._steps({3: 10}, 2000, 8) == 3
+    assert prefix_trie._steps({}, 2000, 8) == -1
+
+
 def test_odd_rows(spark):
     rows = [
         (None, 0, "user", "in no conversation"),
