@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from footfall.functions import rollup
 from footfall.operators import cleaning, cohorts, funnels, items, quality, rfm, sessions, traffic
-from footfall.params import RANGE_END, RANGE_START
-from footfall.sources import read_log, save, write_clean, write_rfm
+from footfall.params import BUSINESS_ZONE, RANGE_END, RANGE_START
+from footfall.sources import load_clean, read_log, save, write_clean, write_rfm
 
 Analysis = Callable[[DataFrame], DataFrame]
 
@@ -61,22 +61,58 @@ EXPORTS: dict[str, Analysis] = {
 
 
 def clean_log(
-    spark: SparkSession, raw: str, clean: str, start: int = RANGE_START, end: int = RANGE_END
+    spark: SparkSession,
+    raw: str,
+    clean: str,
+    start: int = RANGE_START,
+    end: int = RANGE_END,
+    zone: str = BUSINESS_ZONE,
+    only_days: bool = False,
+    clustered: bool = False,
+) -> dict[str, int]:
+    """Clean the raw CSV log, write it partitioned by date, and return its counts.
+
+    The counts of ``cleaning.report`` are taken while the log is written and
+    saved beside it, as ``<clean>_report``.  With ``only_days``, days that the
+    cleaned log has no rows of stay as they are stored.
+    """
+    counts = Observation("clean")
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return cleaning.kept(rows.observe(counts, *cleaning.tallies()))
+
+    rows = cleaning.marked(read_log(spark, raw), start, end, zone)
+    write_clean(rows, clean, only_days, clustered=clustered, last_step=counted)
+    return _saved_counts(spark, counts.get, clean)
+
+
+def add_batch(
+    spark: SparkSession,
+    raw: str,
+    clean: str,
+    start: int = RANGE_START,
+    end: int = RANGE_END,
+    zone: str = BUSINESS_ZONE,
 ) -> None:
-    """Clean the raw CSV log and write it partitioned by date."""
-    write_clean(cleaning.clean(read_log(spark, raw), start, end), clean)
+    """Clean a raw CSV batch and append the rows that the clean log does not hold yet."""
+    batch = cleaning.clean(read_log(spark, raw), start, end, zone)
+    write_clean(cleaning.unseen(batch, load_clean(spark, clean)), clean, append=True)
+
+
+def _saved_counts(spark: SparkSession, counts: dict[str, int], clean: str) -> dict[str, int]:
+    frame = spark.createDataFrame([tuple(counts.values())], list(counts))
+    save(frame, f"{clean.rstrip('/')}_report")
+    return counts
 
 
 def check(log: DataFrame, output: str, start: int = RANGE_START, end: int = RANGE_END) -> None:
-    """Save the quality reports of a raw or clean log, each under its name."""
-    reports = {
-        "range_report": quality.range_report(log, start, end),
-        "null_counts": quality.null_counts(log),
-        "behavior_domain": quality.behavior_domain(log),
-        "duplicate_report": quality.duplicate_report(log),
-        "clean_report": cleaning.report(log, start, end),
-    }
-    for name, report in reports.items():
+    """Save the quality reports of a raw or clean log, each under its name.
+
+    The log is read once, into counts per behaviour that are stored; every
+    report comes from those.
+    """
+    facts = _stored(quality.facts(log, start, end), f"{output}/facts")
+    for name, report in quality.reports(facts).items():
         save(report, f"{output}/{name}")
 
 
@@ -91,9 +127,17 @@ def _save_all(analyses: dict[str, Analysis], log: DataFrame, output: str) -> Non
         save(analysis(log), f"{output}/{name}")
 
 
-def analyse(log: DataFrame, output: str, only: Iterable[str] | None = None) -> None:
+def analyse(
+    log: DataFrame,
+    output: str,
+    only: Iterable[str] | None = None,
+    validate: tuple[int, int] | None = None,
+) -> None:
     """Save the analyses of a log, each under its name below ``output``.
 
+    ``validate`` is a closed range of times: the quality reports of the log are
+    saved first, below ``output``/checks.
+
     Analyses that need the same few columns share one stored rollup of the
     log instead of scanning and shuffling all of it again each time.
     """
@@ -101,6 +145,9 @@ def analyse(log: DataFrame, output: str, only: Iterable[str] | None = None) -> N
     if wanted - ANALYSES:
         raise ValueError(f"no such analysis: {', '.join(sorted(wanted - ANALYSES))}")
 
+    if validate:
+        check(log, f"{output}/checks", *validate)
+
     def chosen(analyses: dict[str, Analysis]) -> dict[str, Analysis]:
         return {name: analysis for name, analysis in analyses.items() if name in wanted}
 

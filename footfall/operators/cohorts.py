@@ -1,10 +1,14 @@
-"""Retention and user lifecycle, all on one row per (user, active date)."""
+"""Retention and user lifecycle, all on one row per (user, active date).
+
+The active days of a user also fit a bitmap, 64 days a word, that can be stored
+and merged with the bitmap of further days; every result here follows from it.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions import BUY, VIEW, rate, up_to
@@ -44,9 +48,13 @@ def retention(
     nobody returned from; ``flag_observable`` adds a column per N that tells
     the two apart.
     """
+    last_date = log.agg(F.max("date")).scalar() if flag_observable else None
+    return _retention(user_days(log), days, last_date)
+
+
+def _retention(user_days: DataFrame, days: Sequence[int], last_date: Column | None) -> DataFrame:
     cohorts = (
-        user_days(log)
-        .groupBy("first_date")
+        user_days.groupBy("first_date")
         .agg(
             *(
                 F.expr(f"count_if(datediff(date, first_date) = {n})").alias(name)
@@ -55,11 +63,10 @@ def retention(
         )
     )
     columns = ["first_date", "new_users"]
-    last_date = log.agg(F.max("date")).scalar() if flag_observable else None
     for n in days:
         retained = f"retained_day{n}"
         columns += [retained, rate(retained, "new_users").alias(f"retention_rate_day{n}")]
-        if flag_observable:
+        if last_date is not None:
             reached = F.date_add("first_date", n) <= last_date
             columns.append(reached.alias(f"observable_day{n}"))
     return cohorts.select(*columns).orderBy("first_date")
@@ -67,9 +74,12 @@ def retention(
 
 def lifecycle(log: DataFrame) -> DataFrame:
     """New and returning users per date."""
+    return _lifecycle(user_days(log))
+
+
+def _lifecycle(user_days: DataFrame) -> DataFrame:
     per_date = (
-        user_days(log)
-        .groupBy("date")
+        user_days.groupBy("date")
         .agg(
             F.count(F.lit(1)).alias("total_users"),
             F.expr("count_if(date = first_date)").alias("new_users"),
@@ -111,10 +121,73 @@ def first_purchase_gap(log: DataFrame, split_negative: bool = False) -> DataFram
 
 def active_days(log: DataFrame, params: ActiveDays = ACTIVE_DAYS) -> DataFrame:
     """Users by number of distinct active dates, in the given bands."""
-    per_user = _dates_of_users(log).select(F.size("dates").alias("days"))
+    return _active_days(_dates_of_users(log).select(F.size("dates").alias("days")), params)
+
+
+def _active_days(per_user: DataFrame, params: ActiveDays) -> DataFrame:
     band = up_to("days", params.bands, params.beyond)
     return (
         per_user.groupBy(band.alias("active_group"))
         .agg(F.count(F.lit(1)).alias("user_count"))
         .orderBy(F.desc("user_count"), "active_group")
     )
+
+
+BITMAP_SCHEMA = "user_id BIGINT, base INT, words ARRAY<BIGINT>"
+
+
+def activity_bitmaps(log: DataFrame) -> DataFrame:
+    """``user_id``, ``base`` and ``words``: bit d % 64 of word d div 64 - base is epoch day d."""
+    days = _dates_of_users(log).select(
+        "user_id", F.transform("dates", lambda d: F.unix_date(d)).alias("days")
+    )
+    bits = """transform(sequence(base, shiftright(array_max(days), 6)), w ->
+      aggregate(filter(days, d -> shiftright(d, 6) = w), 0L, (a, d) -> a | shiftleft(1L, d & 63)))"""
+    based = days.withColumn("base", F.expr("shiftright(array_min(days), 6)"))
+    return based.select("user_id", "base", F.expr(bits).alias("words"))
+
+
+def merge_bitmaps(stored: DataFrame, more: DataFrame) -> DataFrame:
+    """Bitmaps of the days of both sides; a day in both counts once.
+
+    Where ``stored`` is bucketed by user, only ``more`` is shuffled.
+    """
+    ours, theirs = stored.alias("s"), more.alias("m")
+    joined = ours.join(theirs, "user_id", "full_outer").selectExpr(
+        "user_id",
+        "least(s.base, m.base) AS base",
+        "greatest(s.base + size(s.words), m.base + size(m.words)) - 1 AS last",
+        "s.base AS s_base",
+        "s.words AS s_words",
+        "m.base AS m_base",
+        "m.words AS m_words",
+    )
+    either = """transform(sequence(base, last), w ->
+      coalesce(get(s_words, w - s_base), 0L) | coalesce(get(m_words, w - m_base), 0L))"""
+    return joined.selectExpr("user_id", "base", f"{either} AS words")
+
+
+def user_days_of(bitmaps: DataFrame) -> DataFrame:
+    """What ``user_days`` gives, from bitmaps and without a shuffle."""
+    days = """transform(filter(sequence(base * 64, (base + size(words)) * 64 - 1), d ->
+      shiftright(words[shiftright(d, 6) - base], d & 63) & 1 = 1), d -> date_from_unix_date(d))"""
+    dated = bitmaps.select("user_id", F.expr(days).alias("dates"))
+    return dated.select(
+        "user_id", F.explode("dates").alias("date"), F.array_min("dates").alias("first_date")
+    )
+
+
+def retention_of(bitmaps: DataFrame, days: Sequence[int] = RETENTION_DAYS) -> DataFrame:
+    """What ``retention`` gives, from bitmaps."""
+    return _retention(user_days_of(bitmaps), days, None)
+
+
+def lifecycle_of(bitmaps: DataFrame) -> DataFrame:
+    """What ``lifecycle`` gives, from bitmaps."""
+    return _lifecycle(user_days_of(bitmaps))
+
+
+def active_days_of(bitmaps: DataFrame, params: ActiveDays = ACTIVE_DAYS) -> DataFrame:
+    """What ``active_days`` gives, from bitmaps."""
+    days = F.expr("aggregate(words, 0, (n, w) -> n + bit_count(w))")
+    return _active_days(bitmaps.select(days.alias("days")), params)

@@ -88,15 +88,37 @@ def item_low_cvr(
     return _low_converting(base, exact, n)
 
 
+def traffic_sketch(quantile: float, error: float) -> Column:
+    """Aggregate for a traffic threshold whose rank is off by at most ``error``."""
+    return F.percentile_approx(VIEW, quantile, round(1 / error))
+
+
 def item_low_cvr_approx(
     base: DataFrame,
     n: int | None = TOP_N.low_converting_items,
     quantile: float = ITEM_CONVERSION.traffic_quantile,
     error: float = ITEM_CONVERSION.quantile_error,
 ) -> DataFrame:
-    """As ``item_low_cvr`` with a quantile sketch of bounded rank error."""
-    sketch = F.percentile_approx(VIEW, quantile, round(1 / error))
-    return _low_converting(base, sketch, n)
+    """As ``item_low_cvr`` with a quantile sketch of bounded rank error.
+
+    With an error below one rank, 1 / number of items, it is the exact quantile.
+    """
+    return _low_converting(base, traffic_sketch(quantile, error), n)
+
+
+def traffic_sketch_holds(
+    base: DataFrame,
+    quantile: float = ITEM_CONVERSION.traffic_quantile,
+    error: float = ITEM_CONVERSION.quantile_error,
+) -> DataFrame:
+    """Whether the threshold of ``item_low_cvr_approx`` lies within its error of the quantile."""
+    at = base.agg(traffic_sketch(quantile, error)).scalar()
+    ranks = base.select(VIEW, at.alias("at")).agg(
+        F.avg((F.col(VIEW) < F.col("at")).cast("int")).alias("below"),
+        F.avg((F.col(VIEW) <= F.col("at")).cast("int")).alias("up_to"),
+    )
+    low, high = F.col("below") <= quantile + error, F.col("up_to") >= quantile - error
+    return ranks.select((low & high).alias("within_error"))
 
 
 def category_cvr(log: DataFrame) -> DataFrame:
@@ -127,19 +149,31 @@ def category_details(log: DataFrame, n: int | None = TOP_N.exported_categories)
     return top(activity(log, "category_id"), n, F.desc("total"), F.col("category_id"))
 
 
-def category_items(log: DataFrame, n: int = TOP_N.category_items) -> DataFrame:
+# Up to so many rows, Spark itself cuts a ranking on the map side.
+_GROUP_LIMIT = 1000
+
+
+def category_items(
+    log: DataFrame, n: int = TOP_N.category_items, salts: int = 64
+) -> DataFrame:
     """The most active items within every category.
 
-    Spark cuts each map task's output to ``n`` rows per category before the
-    shuffle, so a category that holds most items is not sorted in one task.
+    Up to a thousand rows a category, Spark cuts each map task's output to ``n``
+    rows per category before the shuffle.  For more, items are dealt over
+    ``salts`` parts of their category, each part is cut to ``n``, and what is
+    left is ranked: a category that holds most items is never sorted in one
+    task, which gets at most ``salts * n`` of them.
     """
-    ranking = Window.partitionBy("category_id").orderBy(F.desc("total"), "item_id")
-    return (
-        activity(log, "category_id", "item_id")
-        .drop("pv_uv")
-        .withColumn("rank", F.row_number().over(ranking))
-        .where(F.col("rank") <= n)
-    )
+    order = (F.desc("total"), F.col("item_id"))
+    found = activity(log, "category_id", "item_id").drop("pv_uv")
+    if n > _GROUP_LIMIT:
+        part = F.pmod(F.hash("item_id"), F.lit(salts))
+        within = Window.partitionBy("category_id", part).orderBy(*order)
+        found = found.withColumn("place", F.row_number().over(within))
+        found = found.where(F.col("place") <= n).drop("place")
+    ranking = Window.partitionBy("category_id").orderBy(*order)
+    ranked = found.withColumn("rank", F.row_number().over(ranking))
+    return ranked.where(F.col("rank") <= n)
 
 
 def category_items_nested(log: DataFrame, n: int = TOP_N.category_items) -> DataFrame:

@@ -141,20 +141,87 @@ def session_rollup(
     where they are.  Of busy users, only spans per (user, slot, behaviour) are
     shuffled, combined on the map side.
     """
+    rolled = _rolled(
+        log,
+        gap_minutes,
+        slot_seconds,
+        busy_rows,
+        F.sum("n").alias("session_length"),
+        F.size(F.collect_set("behavior")).cast("long").alias("unique_behaviors"),
+    )
+    return rolled.select(_session_id().alias("session_id"), "session_length", "unique_behaviors")
+
+
+def _rolled(
+    log: DataFrame, gap_minutes: float, slot_seconds: float, busy_rows: int, *measures: Column
+) -> DataFrame:
+    """Measures per (user, session number) over spans with their rows ``n`` and ``behavior``."""
     needed = log.select("user_id", "ts_us", "behavior")
     ordinary, busy = _split_busy(needed, busy_rows, slot_seconds)
     by_row = _numbered(_row_spans(ordinary).withColumn("n", F.lit(1)), gap_minutes, "ts_us")
     slot = _slot(gap_minutes, F.col("slot_width"))
     by_span = _numbered(_spans(busy, slot, "behavior"), gap_minutes)
-    parts = (
-        part.groupBy("user_id", "session_no").agg(
-            F.sum("n").alias("session_length"),
-            F.size(F.collect_set("behavior")).cast("long").alias("unique_behaviors"),
+    parts = (part.groupBy("user_id", "session_no").agg(*measures) for part in (by_row, by_span))
+    return reduce(DataFrame.unionAll, parts)
+
+
+# What is known of a session from some of its rows; enough to go on when more come.
+SPAN_SCHEMA = (
+    "user_id BIGINT, first_us BIGINT, last_us BIGINT, session_length BIGINT, "
+    "behaviors ARRAY<STRING>"
+)
+
+
+def session_spans(
+    log: DataFrame,
+    gap_minutes: float = SESSION_GAP_MINUTES,
+    slot_seconds: float = SLOT_SECONDS,
+    busy_rows: int = BUSY_ROWS,
+) -> DataFrame:
+    """Every session of a log as a summary that ``stitch`` can go on with."""
+    return _rolled(
+        log,
+        gap_minutes,
+        slot_seconds,
+        busy_rows,
+        F.min("first_us").alias("first_us"),
+        F.max("last_us").alias("last_us"),
+        F.sum("n").alias("session_length"),
+        F.collect_set("behavior").alias("behaviors"),
+    ).drop("session_no")
+
+
+def stitch(spans: DataFrame, gap_minutes: float = SESSION_GAP_MINUTES) -> DataFrame:
+    """Summaries of parts of a log as those of the whole: neighbours within the gap are one.
+
+    The rows to order per user are sessions of the parts, not log rows.
+    """
+    numbered = _numbered(spans, gap_minutes, "first_us", "last_us")
+    behaviors = F.array_distinct(F.flatten(F.collect_list("behaviors")))
+    return (
+        numbered.groupBy("user_id", "session_no")
+        .agg(
+            F.min("first_us").alias("first_us"),
+            F.max("last_us").alias("last_us"),
+            F.sum("session_length").alias("session_length"),
+            behaviors.alias("behaviors"),
         )
-        for part in (by_row, by_span)
+        .drop("session_no")
     )
-    return reduce(DataFrame.unionAll, parts).select(
-        _session_id().alias("session_id"), "session_length", "unique_behaviors"
+
+
+def is_closed(until_us: int, gap_minutes: float = SESSION_GAP_MINUTES) -> Column:
+    """Whether no row from ``until_us`` on can belong to the session any more."""
+    return F.lit(until_us) - F.col("last_us") > _gap(gap_minutes)
+
+
+def rollup_of_spans(spans: DataFrame) -> DataFrame:
+    """What ``session_rollup`` gives, from the stitched summaries of a whole log."""
+    in_time = Window.partitionBy("user_id").orderBy("first_us")
+    return spans.withColumn("session_no", F.row_number().over(in_time)).select(
+        _session_id().alias("session_id"),
+        "session_length",
+        F.size("behaviors").cast("long").alias("unique_behaviors"),
     )
 
 

@@ -24,7 +24,7 @@ from footfall.operators import (
     sessions,
     traffic,
 )
-from footfall.params import ITEM_CONVERSION, RFM, ActiveDays, Rfm
+from footfall.params import RFM, ActiveDays, Rfm
 from footfall.sources import (
     events_log,
     fresh_folder,
@@ -121,24 +121,14 @@ def _segment_in_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rfm.segment_hourly(_in_dates(log), rfm.rfm_detail(log), SEGMENT)
 
 
-def _approx_holds(log: DataFrame) -> DataFrame:
-    """Whether the sketched traffic threshold lies within its error of the quantile."""
-    base = _item_base(log)
-    chosen = ITEM_CONVERSION
-    sketch = F.percentile_approx("pv", chosen.traffic_quantile, round(1 / chosen.quantile_error))
-    ranks = base.select("pv", base.agg(sketch).scalar().alias("at")).agg(
-        F.avg((F.col("pv") < F.col("at")).cast("int")).alias("below"),
-        F.avg((F.col("pv") <= F.col("at")).cast("int")).alias("up_to"),
-    )
-    low = F.col("below") <= chosen.traffic_quantile + chosen.quantile_error
-    high = F.col("up_to") >= chosen.traffic_quantile - chosen.quantile_error
-    return ranks.select((low & high).alias("within_error"))
-
-
 def _nested_as_text(log: DataFrame) -> DataFrame:
-    """Top items of each category as one text, in rank order."""
+    """Top items of each category as one text, in rank order, with all their fields."""
+    fields = ("rank", "item_id", "pv", "fav", "cart", "buy", "total", "interest_uv", "buy_uv")
     said = F.transform(
-        "items", lambda x: F.concat_ws(":", x["item_id"], x["total"], x["interest_uv"], x["buy_uv"])
+        "items",
+        lambda x: F.concat_ws(
+            ":", *(x[f] for f in fields), F.round(x["cvr"] * 100).cast("bigint")
+        ),
     )
     return items.category_items_nested(log).select(
         "category_id", F.array_join(said, ",").alias("items")
@@ -262,7 +252,6 @@ CATALOGUE: dict[str, Query] = {
     "item_cvr_base": _on_orders(_item_base, category=False),
     "item_cvr_top": _on_orders(lambda log: items.item_cvr_top(_item_base(log)), category=False),
     "item_low_cvr": _on_orders(lambda log: items.item_low_cvr(_item_base(log)), category=False),
-    "item_low_cvr_approx": _on_orders(_approx_holds, category=False),
     "category_cvr": _on_orders(items.category_cvr),
     # conversion
     "conversion_funnel": _on_events(funnels.conversion_funnel),

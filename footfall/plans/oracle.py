@@ -343,7 +343,6 @@ ORACLE: dict[str, str] = {
          {_rows('cart')} AS cart, {_rows('buy')} AS buy, count(*) AS total
   FROM orders_log GROUP BY category_id ORDER BY total DESC, category_id LIMIT 5"""
     ),
-    "item_low_cvr_approx": _orders("SELECT true AS within_error"),
     "cohort_date_filter": _retention(
         "first_date BETWEEN DATE '2024-01-02' AND DATE '2024-01-16'"
     ),
@@ -371,8 +370,8 @@ ORACLE: dict[str, str] = {
         _activity("orders_log", "category_id") + " ORDER BY total DESC, category_id LIMIT 5"
     ),
     "category_items_nested": _orders(
-        f"""SELECT category_id, string_agg(concat_ws(':', item_id, total, interest_uv, buy_uv), ','
-         ORDER BY rank) AS items
+        f"""SELECT category_id, string_agg(concat_ws(':', rank, item_id, pv, fav, cart, buy, total,
+         interest_uv, buy_uv, CAST(round(cvr * 100) AS BIGINT)), ',' ORDER BY rank) AS items
   FROM (SELECT *, {_ITEMS} FROM ({_activity('orders_log', 'category_id, item_id', viewers=False)}))
   WHERE rank <= 20 GROUP BY category_id"""
     ),
@@ -575,3 +574,13 @@ ORACLE: dict[str, str] = {
   FROM (SELECT {_rows('pv')} AS pv, {_rows('buy')} AS buy FROM events_log)"""
     ),
 }
+
+TOP_5000 = ORACLE["category_items"].replace("rank <= 20", "rank <= 5000")
+
+_UTC = _TIME_FIELDS.replace("TIMESTAMP '1970-01-01 08:00:00'", "TIMESTAMP '1970-01-01 00:00:00'")
+ONE_DAY_AGAIN = _events(
+    f"""SELECT {_RAW}, {_UTC} FROM
+  (SELECT DISTINCT user_id, item_id, category_id, "timestamp",
+          CASE WHEN date = DATE '2024-01-10' THEN behavior ELSE 'pv' END AS behavior
+   FROM events_log WHERE "timestamp" BETWEEN 1704672000 AND 1705449599)"""
+)

@@ -96,8 +96,11 @@ def test_date_is_derived_when_the_log_has_none(spark, raw_file, tmp_path):
 def test_save_overwrites(spark, tmp_path):
     path = str(tmp_path / "result")
     save(spark.range(5), path)
-    save(spark.range(3), path, single_file=True)
+    save(spark.range(3), path)
     assert spark.read.json(path).count() == 3
+    with pytest.raises(Exception):
+        save(spark.range(1).selectExpr("raise_error('no') AS x"), path)
+    assert spark.read.json(path).count() == 3  # a failed write leaves the old table
 
 
 def _session_with(**settings):
