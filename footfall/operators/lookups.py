@@ -125,35 +125,21 @@ def batch_lookup(log: DataFrame, requests: DataFrame) -> DataFrame:
     """All measures of the requested items and categories.
 
     ``requests`` has columns ``kind`` (``item`` or ``category``) and ``id``.
-    An id without rows in the log gives no row.  The log is read once: rows are
-    marked by the requests they meet, and count once for their item and once for
-    their category in one rollup.  Where the requests are few, both joins are
-    broadcasts and rows that meet none do not reach the shuffle; where they are
-    many, Spark's runtime filters and skew handling apply to the joins.
+    An id without rows in the log gives no row.  The log is read once: a row
+    counts once for its item and once for its category, in one rollup by kind
+    and id.  The semi join stands above it; where the requests are few enough
+    to broadcast, Catalyst moves it below, so that rows nobody asks for do not
+    reach the shuffle.
     """
-
-    def wanted(kind: str, key: str) -> DataFrame:
-        ids = F.col("id").try_cast(log.schema[key].dataType).alias(f"asked_{key}")
-        return requests.where(F.col("kind") == kind).select(ids).distinct()
-
-    met = log
-    for kind, key in (("item", "item_id"), ("category", "category_id")):
-        asked = wanted(kind, key)
-        met = met.join(asked, F.col(key) == F.col(f"asked_{key}"), "left")
-    asked_for = F.array_compact(
-        F.array(
-            *(
-                F.when(
-                    F.col(f"asked_{kind}_id").isNotNull(),
-                    F.struct(F.lit(kind).alias("kind"), F.col(f"{kind}_id").cast("long").alias("id")),
-                )
-                for kind in ("item", "category")
-            )
+    ids = F.col("id").try_cast("bigint").alias("id")
+    wanted = requests.select("kind", ids).distinct()
+    both = F.array(
+        *(
+            F.struct(F.lit(kind).alias("kind"), F.col(f"{kind}_id").cast("bigint").alias("id"))
+            for kind in ("item", "category")
         )
     )
-    met = met.where("asked_item_id IS NOT NULL OR asked_category_id IS NOT NULL")
-    counted = met.select("*", F.inline(asked_for))
-    return activity(counted, "kind", "id")
+    return activity(log.select("*", F.inline(both)), "kind", "id", only=wanted)
 
 
 def kpi_summary(log: DataFrame) -> DataFrame:

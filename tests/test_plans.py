@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import re
 
+import pyarrow.parquet as pq
 import pytest
 
-from footfall.operators import cleaning, cohorts, items, lookups, rfm, sessions
+from footfall import increments
+from footfall.operators import cleaning, cohorts, items, lookups, quality, ranges, rfm, sessions
+from footfall.params import RANGE_START
 from footfall.sources import events_log, load_clean, orders_log, write_clean
 from footfall.plans import CATALOGUE as QUERIES
 from footfall.plans.catalogue import _raw
@@ -43,6 +46,9 @@ def test_no_cross_join_and_no_python(spark, sf_dir, no_broadcast, name):
             "session_stats",
             "session_stats_long_gap",
             "session_stats_plain_log",
+            "session_stats_in_parts",
+            "session_stats_in_parts_long_gap",
+            "quality_nulls_shared",
         }
 
 
@@ -95,6 +101,95 @@ def test_small_lookups_filter_at_the_scan_and_large_ones_after_the_rollup(
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("limit", ["-1", "10m"])
+def test_batch_lookup_scans_the_log_once(spark, sf_dir, limit):
+    keys = ("autoBroadcastJoinThreshold", "adaptive.autoBroadcastJoinThreshold")
+    for key in keys:
+        spark.conf.set(f"spark.sql.{key}", limit)
+    try:
+        plan = plan_of(QUERIES["batch_lookup"](spark, sf_dir), run=True)
+    finally:
+        for key in keys:
+            spark.conf.unset(f"spark.sql.{key}")
+    assert len(re.findall(r"FileScan parquet \[l_", plan)) == 1
+
+
+def test_reports_of_a_log_share_one_scan_and_shuffle(spark, sf_dir):
+    plan = plan_of(quality.facts(_raw(events_log(spark, sf_dir))), run=True)
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange hashpartitioning(user_id") == 1
+
+
+def test_only_new_rows_are_shuffled_into_stored_bitmaps(spark, sf_dir, tmp_path, no_broadcast):
+    log = events_log(spark, sf_dir)
+    bitmaps = cohorts.activity_bitmaps(log)
+    increments.save_bitmaps(bitmaps, "plan_bitmaps", 8, str(tmp_path / "bitmaps"))
+    stored = spark.table("plan_bitmaps")
+    plan = plan_of(cohorts.merge_bitmaps(stored, bitmaps), run=True)
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "FullOuter" in plan
+    retention = plan_of(cohorts.retention_of(stored), run=True)
+    assert "Exchange hashpartitioning(user_id" not in retention
+    spark.sql("DROP TABLE plan_bitmaps")
+
+
+def test_ranges_read_their_days_of_the_rollups_alone(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "ranges")
+    increments.save_ranges(events_log(spark, sf_dir), path, "category_id")
+    stored = increments.load_ranges(spark, path)
+    some = [lookups.in_dates(part, "2024-01-08", "2024-01-09") for part in stored]
+    plan = plan_of(ranges.activity_of(*some, "category_id"))
+    assert len(re.findall(r"PartitionFilters: \[[^]]*date", plan)) == 2
+    assert "events.parquet" not in plan
+
+
+def test_rankings_beyond_the_group_limit_are_cut_in_parts_first(spark, sf_dir):
+    plan = plan_of(items.category_items(orders_log(spark, sf_dir), 5000))
+    assert re.search(r"Exchange hashpartitioning\(category_id#\w+, _w\d+#\w+", plan)
+    assert plan.count("Window [row_number()") == 2
+
+
+def _rows_of_scans(frame):
+    """Rows that file scans gave, by their metrics."""
+    frame.collect()
+    plan, found = frame._jdf.queryExecution().executedPlan(), 0
+    waiting = [plan]
+    while waiting:
+        node = waiting.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            waiting.append(node.executedPlan())
+        if "QueryStage" in node.getClass().getSimpleName():
+            waiting.append(node.plan())
+        if node.nodeName().startswith("Scan parquet"):
+            found += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_lookups_of_one_item_skip_row_groups(spark, tmp_path):
+    """Item 5 occurs among few users; files are ranges of users."""
+    rows = spark.range(0, 200_000).selectExpr(
+        "id % 20000 AS user_id",
+        "IF(id % 20000 < 50, 5L, 1000 + id * 7919 % 150000) AS item_id",
+        "1L AS category_id",
+        "'pv' AS behavior",
+        f"{RANGE_START} + id % 3600 AS timestamp",
+    )
+    path = str(tmp_path / "clustered")
+    write_clean(cleaning.derive_time(rows), path, clustered=True)
+    log = load_clean(spark, path)
+    seen = lookups.item_behavior_stats(log, 5)
+    assert [tuple(r) for r in seen.collect()] == [("pv", 500)]
+    assert _rows_of_scans(seen) < 100_000
+    files = list((tmp_path / "clustered").rglob("*.parquet"))
+    assert len(files) > 1
+    for file in files:
+        users = pq.read_table(file, columns=["user_id", "timestamp"]).to_pylist()
+        order = [(r["user_id"], r["timestamp"]) for r in users]
+        assert order == sorted(order)
+
+
 def test_segment_profiles_join_rolled_up_users(spark, sf_dir, no_broadcast):
     log = events_log(spark, sf_dir)
     plan = rfm.segment_hourly(log, rfm.rfm_detail(log), "潜力用户")
