@@ -9,17 +9,18 @@ reader of metadata reads alone.
 
 from __future__ import annotations
 
-import re
-import struct
+import json
+import sys
 import zlib
-from unicodedata import is_normalized
+from unicodedata import category, is_normalized
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.bpe import Memory
+from footfall.llm.byte_level import byte_letters
 from footfall.llm.common import texts
 
 END_ID = 1
@@ -35,20 +36,76 @@ LAYOUT = {
 }
 
 
-def _byte_letters() -> dict[int, str]:
-    """Letters that byte-level vocabularies spell bytes with: printable ones as they are."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [byte for byte in range(256) if byte not in plain]
-    return {byte: chr(byte) for byte in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+# The parts of a tokenizer file that are done here; others go to the library.
+_NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+KNOWN_WORDS = 300_000  # that a process remembers, some 60 MB
+_STOP = "\0"  # stands for the end of a word
+
+
+def _word_ranks(spec: dict) -> dict[bytes, int] | None:
+    """Rank of every token by its bytes and stop, or None unless ids rank the merges."""
+    model, letters = spec["model"], byte_letters()
+    end, vocab = model.get("end_of_word_suffix"), model.get("vocab")
+    plain = model.get("type") == "BPE" and end and not any(
+        model.get(k) for k in
+        ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")
+    )
+    if not plain or spec.get("truncation") or spec.get("padding"):
+        return None
+    merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    singles = [*letters.values(), *(letter + end for letter in letters.values())]
+    in_order = [vocab.get(m) for m in merged]
+    if any(s not in vocab for s in singles) or None in in_order or in_order != sorted(in_order):
+        return None
+    if in_order and in_order[0] < max(vocab[s] for s in singles):
+        return None
+    back, ranks = {letter: byte for byte, letter in letters.items()}, {}
+    for word in {*singles, *merged}:
+        body = word.removesuffix(end)
+        spelled = bytes(map(back.__getitem__, body))
+        ranks[spelled + _STOP.encode() * (body != word)] = vocab[word]
+    return ranks
+
+
+def _split_pattern(spec: dict) -> str | None:
+    """What the file takes for a word, if the rest of its preparation is done here."""
+    normal, pre = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+    split, *rest = pre.get("pretokenizers") or [{}]
+    known = (
+        normal.get("type") == pre.get("type") == "Sequence"
+        and normal.get("normalizers") == _NORMALIZERS
+        and rest == [_BYTES]
+        and split.get("type") == "Split"
+        and split.get("behavior") == "Removed"
+        and split.get("invert")
+    )
+    return split["pattern"].get("Regex") if known else None
 
 
-class WordEncoder:
-    """Encodes what stands between blanks with the library, and remembers it.
+_ODD_LETTERS = (_STOP, "\u0130", "\u03a3")
+_SETTLED = "\u0530"  # below it every character is known or in _ODD_LETTERS
+
+
+def _unknown() -> np.ndarray:
+    """For every code point, whether this Python's tables do not know it yet."""
+    every = map(chr, range(sys.maxunicode + 1))
+    return np.fromiter((category(c) == "Cn" for c in every), bool, sys.maxunicode + 1)
 
-    A space or line feed is always a border for the tokenizer, and so is the
-    place between a letter and a full stop or comma that a blank follows;
-    neither its normalisation nor its special strings reach over one.  A word
-    of letters alone is one piece for it and goes straight to its BPE model.
+
+class WordEncoder:
+    """Ids of texts by a tokenizer file of words with an end mark.
+
+    The file says how text is prepared.  Where it is lower-cased and split into
+    words by a pattern, that is done here, a stop is put behind each word, and
+    ``tiktoken`` applies the merges, in which letter and stop come first.  Texts
+    with special strings, that are not normalised, that hold capitals whose lower
+    form depends on more than themselves or characters unknown here, and all texts of any other file go to the library, so ids are always the
+    library's.  Words already seen are remembered, ``KNOWN_WORDS`` at most.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -56,33 +113,57 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = np.array([end_id], "<i4").tobytes()
-        self.parts = re.compile(r"\n+|(?<=[^\W\d_])(?=[.,](?:\n|$))").split
-        self.letters = _byte_letters()
-        self.words = Memory(self._word)
-        self.chunks = Memory(self._chunk)
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        ranks, pattern = _word_ranks(spec), _split_pattern(spec)
+        self.plain = bool(ranks and pattern)
+        if self.plain:
+            import tiktoken
+
+            self.special = [t["content"] for t in spec.get("added_tokens") or []]
+            self.unknown, self.words = _unknown(), regex.compile(pattern).findall
+            self.merges = tiktoken.Encoding(
+                path, pat_str=r"[^\x00]*\x00", mergeable_ranks=ranks, special_tokens={}
+            )
+            self.ends = np.zeros(max(ranks.values()) + 1, bool)
+            self.ends[[i for token, i in ranks.items() if token[1:].endswith(_STOP.encode())]] = True
+            self.known: dict[str, bytes] = {}
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """Ids of each text and the end id, as little-endian 32-bit integers."""
-        known = self.chunks.__getitem__
-        return [b"".join(map(known, text.split(" "))) + self.end for text in texts]
-
-    def _chunk(self, chunk: str) -> bytes:
-        """What stands between two spaces: words, line feeds, and a stop at the end."""
-        return b"".join(map(self.words.__getitem__, self.parts(chunk)))
-
-    def _word(self, word: str) -> bytes:
-        # two capitals have lower forms that depend on more than themselves
-        if word.isalpha() and is_normalized("NFC", word) and not _ODD.intersection(word):
-            small = word.lower()
-            if not small.isascii():
-                small = small.encode().decode("latin-1").translate(self.letters)
-            ids = [token.id for token in self.tokenizer.model.tokenize(small)]
-        else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}i", *ids)
-
-
-_ODD = frozenset("Σİ")
+        return [self.text(text) + self.end for text in texts]
+
+    def text(self, text: str) -> bytes:
+        if not self.plain or not self._as_usual(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
+        words = self.words(text.lower())
+        new = [word for word in set(words) if word not in self.known]
+        if new:
+            if len(self.known) + len(new) > KNOWN_WORDS:
+                self.known, new = {}, list(set(words))
+            self._learn(new)
+        return b"".join(map(self.known.__getitem__, words))
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words in one go; the last token of each, and no other, holds the stop."""
+        ids = np.array(self.merges.encode_ordinary(_STOP.join(words) + _STOP), "<i4")
+        ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        packed = ids.tobytes()
+        self.known.update(
+            (word, packed[x:y]) for word, x, y in zip(words, [0, *ends], ends)
+        )
+
+    def _as_usual(self, text: str) -> bool:
+        return (
+            is_normalized("NFC", text)
+            and not any(letter in text for letter in _ODD_LETTERS)
+            and not any(word in text for word in self.special)
+            and (text.isascii() or max(text) < _SETTLED or not self._holds_unknown(text))
+        )
+
+    def _holds_unknown(self, text: str) -> bool:
+        return bool(self.unknown[np.frombuffer(text.encode("utf-32-le"), "<u4")].any())
+
 
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from pathlib import Path
@@ -8,7 +9,7 @@ import pyarrow.parquet as pq
 from tokenizers import Tokenizer
 
 from footfall.llm import token_store
-from footfall.llm.queries import WORDS, op9_token_store
+from footfall.llm.queries import BYTES, WORDS, op9_token_store
 from tests.llm.frames import awkward, documents, noise
 
 LIBRARY = Tokenizer.from_file(WORDS)
@@ -30,6 +31,27 @@ def test_words_one_by_one_equal_the_library():
         assert found == packed(ids(text)), repr(text)
 
 
+def test_letters_of_all_scripts_equal_the_library():
+    encoder = token_store.WordEncoder(WORDS, 1)
+    assert encoder.plain
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}a1{c}1 {c}.{c} {c}{c}\n{c} 's'{c}A" for c in every[:0x3000] + every[0x3000::23]]
+    library = LIBRARY.encode_batch(texts, add_special_tokens=False)
+    assert all(encoder.text(t) == packed(e.ids) for t, e in zip(texts, library))
+
+
+def test_other_files_go_to_the_library(tmp_path):
+    texts = ["A b's 12", "<|endoftext|>", "ß É"]
+    spec = json.loads(Path(WORDS).read_text())
+    del spec["normalizer"]["normalizers"][2]
+    (tmp_path / "cased.json").write_text(json.dumps(spec))
+    for path in (str(tmp_path / "cased.json"), BYTES):
+        encoder, library = token_store.WordEncoder(path, 1), Tokenizer.from_file(path)
+        assert not encoder.plain
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [encoder.text(t) for t in texts] == list(map(packed, want))
+
+
 def test_awkward_rows(spark, tmp_path):
     frame = awkward(spark)
     token_store.write(frame, f"{tmp_path}/t", WORDS)
