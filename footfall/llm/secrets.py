@@ -60,15 +60,23 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def window(text: str, start: int, stop: int) -> bytes:
-    """A candidate with its surroundings as character classes, of fixed length."""
-    inner = text[start:stop]
-    if len(inner) > INSIDE:
-        inner = inner[: INSIDE // 2] + inner[-(INSIDE - INSIDE // 2) :]
-    before = text[max(0, start - BEFORE) : start].rjust(BEFORE, "\0")
-    after = text[stop : stop + AFTER].ljust(AFTER, "\0")
-    whole = before + inner.ljust(INSIDE, "\0") + after
-    return bytes(min(ord(c), 127) for c in whole)
+LENGTH = BEFORE + INSIDE + AFTER
+
+
+def windows(text: str, start: int, stop: int) -> bytes:
+    """A candidate with its surroundings as character classes, in windows of ``LENGTH``.
+
+    A candidate that does not fit one window is seen through several that
+    overlap by half, so every place of it is read with what stands beside it.
+    """
+    out = []
+    for at in range(start, max(start + 1, stop - INSIDE // 2), INSIDE // 2):
+        inner = text[at : min(at + INSIDE, stop)]
+        end = at + len(inner)
+        before = text[max(0, at - BEFORE) : at].rjust(BEFORE, "\0")
+        after = text[end : end + AFTER].ljust(AFTER, "\0")
+        out.append(before + inner.ljust(INSIDE, "\0") + after)
+    return bytes(min(ord(c), 127) for c in "".join(out))
 
 
 @dataclass
@@ -172,7 +180,7 @@ def _calibrate(network: Network, coded: np.ndarray, labels: np.ndarray) -> Netwo
         network.scale -= float(np.clip(move[0], -1, 1))
         network.offset -= float(np.clip(move[1], -1, 1))
     found = np.sort(network.probability(coded)[labels == 1])
-    network.threshold = max(float(found[int((1 - RECALL) * len(found))]), 0.5)
+    network.threshold = float(found[int((1 - RECALL) * len(found))])
     return network
 
 
@@ -191,7 +199,7 @@ def propose(docs: DataFrame, path: str) -> None:
                 text = text.as_py()
                 rows.append(
                     [
-                        {"start": a, "kind": k, "stop": b, "window": window(text, a, b)}
+                        {"start": a, "kind": k, "stop": b, "window": windows(text, a, b)}
                         for a, k, b in candidates(text)
                     ]
                 )
@@ -206,7 +214,13 @@ def propose(docs: DataFrame, path: str) -> None:
 def train(spark: SparkSession, path: str, limit: int = SAMPLE) -> Network:
     """Fit on at most ``limit`` distinct candidates of either label, chosen by hash."""
     each = spark.read.parquet(path).select(F.explode("found").alias("x"))
-    labelled = each.select((F.col("x.kind") < 3).alias("secret"), F.col("x.window").alias("window"))
+    starts = F.sequence(F.lit(1), F.length("x.window"), F.lit(LENGTH))
+    labelled = each.select(
+        (F.col("x.kind") < 3).alias("secret"),
+        F.explode(F.transform(starts, lambda i: F.substring("x.window", i, F.lit(LENGTH)))).alias(
+            "window"
+        ),
+    )
     rows = []
     for secret in (True, False):
         part = labelled.where(F.col("secret") == secret).select("window").distinct()
@@ -238,8 +252,10 @@ def scan(docs: DataFrame) -> DataFrame:
             scored = iter(())
             if flat:
                 coded = np.frombuffer(b"".join(x["window"] for x in flat), np.uint8)
-                coded = coded.reshape(len(flat), -1).astype(np.int64)
-                scored = iter(network.probability(coded).tolist())
+                coded = coded.reshape(-1, LENGTH).astype(np.int64)
+                sizes = np.array([len(x["window"]) // LENGTH for x in flat])
+                each = network.probability(coded)
+                scored = iter(np.maximum.reduceat(each, np.cumsum(sizes) - sizes).tolist())
             rows = []
             for row in found:
                 kept = []

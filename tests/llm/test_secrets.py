@@ -50,7 +50,7 @@ def test_network_finds_secrets_without_telling_words():
     rng = np.random.default_rng(3)
     hexes = ["".join(rng.choice(list("0123456789abcdef"), 40)) for _ in range(400)]
     plain = ["".join(rng.choice(["the", "ing", "on", "er", "st"], 9)) for _ in range(400)]
-    windows = [secrets.window(f"say {x} so", 4, 4 + len(x)) for x in hexes + plain]
+    windows = [secrets.windows(f"say {x} so", 4, 4 + len(x)) for x in hexes + plain]
     labels = np.repeat([1.0, 0.0], 400)
     train = np.arange(800) % 4 > 0
     network = secrets.fit([w for w, t in zip(windows, train) if t], labels[train])
@@ -78,3 +78,36 @@ def test_query(spark, sf_dir):
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(
             sum(k == i for _, k, _ in spans) for i in range(3)
         )
+
+
+def test_all_places_of_a_long_candidate_are_read():
+    for length in (16, 40, 41, 60, 61, 200):
+        plain = "w" * length
+        same = secrets.windows(f"say {plain} so", 4, 4 + length)
+        assert len(same) % secrets.LENGTH == 0
+        for at in range(length):
+            other = plain[:at] + "7" + plain[at + 1 :]
+            assert secrets.windows(f"say {other} so", 4, 4 + length) != same
+
+
+def test_secrets_in_the_middle_of_long_tokens_are_found():
+    rng = np.random.default_rng(4)
+
+    def text(n):
+        return "".join(rng.choice(["the", "ing", "on", "er", "st"], n))
+
+    def secret(n=40):
+        return "".join(rng.choice(list("0123456789abcdef"), n))
+
+    bad = [f"say {secret()} so" for _ in range(400)]
+    good = [f"say {text(9)} so" for _ in range(400)]
+    seen = [secrets.windows(t, 4, len(t) - 3) for t in bad + good]
+    network = secrets.fit([w[: secrets.LENGTH] for w in seen], np.repeat([1.0, 0.0], 400))
+
+    def flagged(token):
+        coded = np.frombuffer(secrets.windows(f"say {token} so", 4, 4 + len(token)), np.uint8)
+        scores = network.probability(coded.reshape(-1, secrets.LENGTH).astype(int))
+        return scores.max() >= network.threshold
+
+    assert np.mean([flagged(text(20) + secret(120) + text(20)) for _ in range(50)]) > 0.9
+    assert np.mean([flagged(text(60)) for _ in range(50)]) < 0.1
