@@ -142,7 +142,7 @@ FROM every e JOIN above USING (path)
 LEFT JOIN node q ON e.depth > 0 AND q.path = list_slice(e.path, 1, e.depth - 1)"""
 
 ORACLE = {
-    "op3_decontaminate": DECONTAMINATE,
+    "decontaminate_exact": DECONTAMINATE,
     "op4_near_dedup": NEAR_DEDUP,
     "op10_chat": CHAT,
     "op13_prefix_trie": PREFIX_TRIE,
