@@ -25,8 +25,11 @@ start, so copies cost nothing.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +45,8 @@ FINER = (1, 5, 11)  # how far on the second band of a finer bucket lies
 MARGIN = 0.22  # a signature may underestimate by this much (over five deviations)
 CELLS = 22  # bits of the table of shingle frequencies, which sets the order of shingles
 _SLACK = 1e-9  # rounding of floats must not shorten a prefix
-_BATCH = 128
+_BATCH = 128  # texts signed together, and bytes of them at most, but one text at least
+_BATCH_BYTES = 400_000
 
 # Everything below 0x80 that is not a letter or digit separates words; A-Z are lowered.
 _FOLD = bytes(
@@ -134,6 +138,18 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(common / (a[1].sum() + b[1].sum() - common))
 
 
+def _bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices with few rows and few bytes of text, so that long texts are signed alone."""
+    sizes, start = pc.binary_length(batch["text"]).to_pylist(), 0
+    while start < len(sizes):
+        stop, held = start + 1, sizes[start]
+        while stop < min(len(sizes), start + _BATCH) and held + sizes[stop] <= _BATCH_BYTES:
+            held += sizes[stop]
+            stop += 1
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def sign(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``key`` (of the text), ``node`` (128-bit hash of the words; NULL without any), ``sig``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -142,8 +158,7 @@ def sign(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for start in range(0, batch.num_rows, _BATCH):
-                part = batch.slice(start, _BATCH)
+            for part in _bounded(batch):
                 split = [words_of(text.as_py()) for text in part["text"]]
                 has = [i for i, words in enumerate(split) if words]
                 found = signatures([bag(split[i]) for i in has]) if has else ()

@@ -32,7 +32,8 @@ from footfall.llm.common import texts
 # What a process remembers; no limit shows in results.
 STEP_LIMIT = 60_000  # deterministic steps, beyond which hypotheses are simulated
 PAIR_LIMIT = 1_000_000  # verdicts on neighbours
-PIECE_LIMIT = 400_000  # pieces and words
+PIECE_LIMIT = 100_000  # pieces, and as many of an older half
+WORD_LIMIT = 400_000  # words, likewise; the older half is dropped when a task ends
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -199,16 +200,16 @@ class Memory(dict):
     When full, the entries become the older half; those still in use come back.
     """
 
-    def __init__(self, make: Callable[[str], bytes]):
+    def __init__(self, make: Callable[[str], bytes], limit: int = PIECE_LIMIT):
         super().__init__()
-        self.make = make
+        self.make, self.limit = make, limit
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, key: str) -> bytes:
         packed = self.older.get(key)
         if packed is None:
             packed = self.make(key)
-        if len(self) >= PIECE_LIMIT:
+        if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
         if len(key) <= 64:
@@ -229,7 +230,7 @@ class Encoder:
         self.words = re.compile(r"(?<=\S) (?=\S)").split
         self.transducer = Transducer(ranks)
         self.pieces = Memory(self._piece)
-        self.later = Memory(lambda word: self._split(" " + word))
+        self.later = Memory(lambda word: self._split(" " + word), WORD_LIMIT)
 
     def _piece(self, piece: str) -> bytes:
         ids = self.transducer.encode(piece.encode())
@@ -238,6 +239,11 @@ class Encoder:
     def _split(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.find(text)))
 
+    def rest(self) -> None:
+        """Between tasks, keep only what was in use last."""
+        self.pieces.older = {}
+        self.later.older = {}
+
     def packed(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         first, *later = self.words(text)
@@ -332,6 +338,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
             flat = pa.array(np.frombuffer(b"".join(packed), "<i4"))
             ids = pa.ListArray.from_arrays(pa.array(ends), flat)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], ids], ["doc_id", "ids"])
+        encoder.rest()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return texts(docs).mapInArrow(run, f"doc_id {kind}, ids array<int>")
@@ -374,6 +381,7 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                  pa.array(decoded, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        encoder.rest()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return texts(docs).mapInArrow(

@@ -52,7 +52,7 @@ def blocks(docs: DataFrame, chars: int) -> int:
 class WordHashes(dict):
     """64-bit hash of a word, remembered up to a bound that never shows in results."""
 
-    def __init__(self, seed: int = 0, limit: int = 1_000_000):
+    def __init__(self, seed: int = 0, limit: int = 250_000):
         super().__init__()
         self.seed, self.limit = seed, limit
 
