@@ -25,13 +25,37 @@ CAPITALS = r"\p{Lu}{2}"
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 
-# Wording of lines that say nothing of a document's own.
+# Wording of lines that say nothing of a document's own, in English,
+# German, French and Spanish.
 BOILERPLATE = (
     "all rights reserved", "licensed under", "terms of use", "privacy policy",
     "cookie policy", "accept cookies", "subscribe to our", "sign up for", "click here",
     "read more", "powered by", "skip to content", "enable javascript", "lorem ipsum",
     "permission is hereby granted",
+    "alle rechte vorbehalten", "allgemeine geschäftsbedingungen", "datenschutzerklärung",
+    "cookies akzeptieren", "newsletter abonnieren", "hier klicken", "zum inhalt springen",
+    "javascript aktivieren",
+    "tous droits réservés", "conditions d'utilisation", "politique de confidentialité",
+    "accepter les cookies", "abonnez-vous à", "cliquez ici", "aller au contenu",
+    "activer javascript",
+    "todos los derechos reservados", "condiciones de uso", "política de privacidad",
+    "aceptar las cookies", "suscríbete a", "haga clic aquí", "saltar al contenido",
+    "habilitar javascript",
 )
+# Words of menus in the same languages.
+NAVIGATION = (
+    "home", "about", "contact", "login", "logout", "register", "search", "help", "faq", "blog",
+    "news", "products", "services", "sitemap", "menu", "cart", "next", "previous",
+    "startseite", "kontakt", "impressum", "anmelden", "suche", "hilfe", "produkte", "warenkorb",
+    "accueil", "connexion", "recherche", "aide", "produits", "panier", "suivant",
+    "inicio", "contacto", "buscar", "ayuda", "productos", "carrito", "siguiente",
+)
+_MENU = f"(?:{'|'.join(NAVIGATION)})"
+MENU_WORD = rf"(?iu)(?<!\p{{L}}){_MENU}(?!\p{{L}})"
+# Two of them side by side: a line with more than two thirds of such words has that.
+MENU_PAIR = rf"(?iu)(?<!\p{{L}}){_MENU}[^\p{{L}}\n]++{_MENU}(?!\p{{L}})"
+# A line of prose ends so, whatever quotes or brackets follow.
+ENDED = r"[.!?…:;][\p{Pe}\p{Pf}\x22\x27]*[\x20\t\r]*$"
 
 
 @dataclass(frozen=True)
@@ -42,6 +66,7 @@ class LineLimits:
     separators: float = 0.2
     exclaimed: float = 0.5
     stuttered: float = 0.4
+    menu: float = 2 / 3
     lost: float = 0.5
 
 
@@ -141,8 +166,21 @@ def base_failed() -> Column:
 
 
 def _says_boilerplate(text: Column) -> Column:
-    said = F.lower(text)
-    return reduce(Column.__or__, (F.contains(said, F.lit(phrase)) for phrase in BOILERPLATE))
+    return let(
+        F.lower(text),
+        lambda said: reduce(Column.__or__, (F.contains(said, F.lit(p)) for p in BOILERPLATE)),
+    )
+
+
+def _count(text: Column, pattern: str) -> Column:
+    return F.size(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+
+
+def _is_menu(line: Column, limits: LineLimits) -> Column:
+    """Three words or more, nearly all of menus, without punctuation at the end."""
+    words = _count(line, r"\p{L}++")
+    named = _count(line, MENU_WORD)
+    return line.rlike(MENU_PAIR) & ~line.rlike(ENDED) & (words >= 3) & (named > limits.menu * words)
 
 
 def line_fails(line: Column, limits: LineLimits = LineLimits()) -> Column:
@@ -150,7 +188,8 @@ def line_fails(line: Column, limits: LineLimits = LineLimits()) -> Column:
 
     Boilerplate fails by its wording; lines of three words or more also fail
     by too many symbols, separators or exclamation marks for their words, by
-    having capitals only, or by words said three times or more in a row.
+    having capitals only, by words said three times or more in a row, or as
+    menus: words of navigation without punctuation at the end.
     """
 
     def judge(words: Column) -> Column:
@@ -164,7 +203,7 @@ def line_fails(line: Column, limits: LineLimits = LineLimits()) -> Column:
             | (stuttered > limits.stuttered * F.length(line))
         )
 
-    return _says_boilerplate(line) | let(split_words(line), judge)
+    return _says_boilerplate(line) | let(split_words(line), judge) | _is_menu(line, limits)
 
 
 def clean_lines(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
@@ -179,6 +218,7 @@ def clean_lines(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame
     """
     text = F.col("__text")
     signs = text.rlike(r"[#*$%&<>|»›•!]") | text.rlike(CAPITALS) | text.rlike(STUTTER)
+    signs = signs | text.rlike(MENU_PAIR)
     lines = F.split("__text", "\n", -1)
     tested = F.transform(
         lines, lambda x: F.struct(x.alias("line"), line_fails(x, limits).alias("fails"))
@@ -227,8 +267,27 @@ def judge(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
-    """The rows of ``docs`` that are kept, unchanged and with all their columns."""
-    narrow = docs.select(F.col("text"), F.struct(*docs.columns).alias("__row"))
-    counted = word_counts(narrow)
-    kept = clean_lines(counted, limits).where(~base_failed() & F.col("rules_kept"))
-    return kept.select("__row.*")
+    """The rows of ``docs`` that are kept, without the lines that fail.
+
+    ``text`` is the cleaned text; all other columns, whatever their names, stay
+    as they are.  NULL and empty texts have too few words and go, and repeated
+    rows are judged each.  A kept text may have fewer than the least number of
+    words after cleaning: its own verdict counts, which is about the whole text.
+    """
+    others = [F.col(f"`{c.replace('`', '``')}`") for c in docs.columns if c != "text"]
+    narrow = docs.select("text", F.struct(F.lit(0).alias("__"), *others).alias("__row"))
+    # The partition's number keeps Catalyst from writing the verdict's whole
+    # expression into the filter once more for every use of its parts.
+    judged = clean_lines(word_counts(narrow), limits).select(
+        "cleaned_text",
+        "__row",
+        (~base_failed() & F.col("rules_kept")).alias("__kept"),
+        F.spark_partition_id().alias("__part"),
+    )
+    kept = judged.where(F.col("__kept") & (F.col("__part") >= 0))
+    return kept.select(
+        *(
+            F.col("cleaned_text").alias("text") if c == "text" else F.col("__row").getField(c).alias(c)
+            for c in docs.columns
+        )
+    )

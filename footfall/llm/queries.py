@@ -93,6 +93,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "n_failed_lines", "lost_share",
+        F.sha2("cleaned_text", 256).alias("cleaned_sha256"),
     )
 
 

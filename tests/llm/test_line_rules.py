@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+import regex
 
 from footfall.llm import line_rules
 from footfall.llm.queries import op6_quality_rules
@@ -54,6 +55,11 @@ def test_awkward_rows(spark):
         ("Licensed under the Apache License, Version 2.0.", True),
         ("NASA and ESA went up.", False),
         ("||", False),
+        ("Home About Contact", True),
+        ("Accueil - Produits - Panier", True),
+        ("Home, about, contact.", False),
+        ("The home page has news and search for products", False),
+        ("Alle Rechte vorbehalten 2024", True),
         ("", False),
     ],
 )
@@ -72,13 +78,89 @@ def test_documents_are_rejected_by_what_they_lose(spark):
     assert kept == cases
 
 
-def test_keep_clean_keeps_rows_whole(spark, sf_dir):
+def plain_fails(line):
+    """The line rules once more, in plain Python."""
+    said = line.lower()
+    if any(phrase in said for phrase in line_rules.BOILERPLATE):
+        return True
+    found = blank_words(line)
+    n = len(found)
+    letters = regex.findall(r"\p{L}+", line)
+    menu = [w for w in letters if w.lower() in line_rules.NAVIGATION]
+    ended = line.rstrip(" \t\r").rstrip(")]}\u00bb\u201d\u2019\"'")[-1:] in tuple(".!?…:;")
+    if len(letters) >= 3 and 3 * len(menu) > 2 * len(letters) and not ended:
+        return True
+    if n < 3:
+        return False
+    stuttered, tokens = 0, line.split(" ")
+    tokens = [t for t in tokens if t]
+    for same in _runs(tokens):
+        if len(same) >= 3:
+            stuttered += sum(map(len, same)) + len(same) - 1
+    return (
+        sum(c in "#*$%&<>" for c in line) > 0.5 * n
+        or sum(c in "|»›•" for c in line) > 0.2 * n
+        or line.count("!") > 0.5 * n
+        or (line == line.upper() and regex.search(r"\p{Lu}{2}", line) is not None)
+        or stuttered > 0.4 * len(line)
+    )
+
+
+def _runs(tokens):
+    out = []
+    for t in tokens:
+        if out and out[-1][0] == t:
+            out[-1].append(t)
+        else:
+            out.append([t])
+    return out
+
+
+def test_cleaned_texts_equal_plain_rules(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    extra = noise("Hh oO!|\n#.", 500, 120) + ["Home | News\nSome text.", "next home\nprevious help menu"]
+    every = docs.select("doc_id", "text").unionByName(
+        spark.createDataFrame([(-i - 1, x) for i, x in enumerate(extra)], "doc_id long, text string")
+    )
+    removed = 0
+    for row in line_rules.clean_lines(every).collect():
+        lines = (row.text or "").split("\n")
+        fails = [plain_fails(line) for line in lines]
+        assert row.n_failed_lines == sum(fails), row.doc_id
+        assert row.cleaned_text == "\n".join(x for x, f in zip(lines, fails) if not f)
+        lost = sum(len(x) for x, f in zip(lines, fails) if f)
+        share = lost / max(1, sum(map(len, lines)))
+        assert abs(row.lost_share - share) < 1e-12 and row.rules_kept == (share <= 0.5)
+        removed += sum(fails)
+    assert removed > 50
+
+
+def test_keep_clean_passes_cleaned_texts_on(spark, sf_dir):
     docs = documents(spark, sf_dir)
     kept = line_rules.keep_clean(docs)
-    assert kept.columns == docs.columns
-    verdict = {r.doc_id for r in line_rules.judge(docs).where("kept").collect()}
-    assert {r.doc_id for r in kept.collect()} == verdict
-    assert line_rules.keep_clean(awkward(spark)).columns == awkward(spark).columns
+    assert kept.schema == docs.schema or kept.columns == docs.columns
+    judged = line_rules.judge(docs).where("kept").collect()
+    cleaned = {r.doc_id: r.cleaned_text for r in judged}
+    before = {r.doc_id: r for r in docs.collect()}
+    rows = kept.collect()
+    assert {r.doc_id: r.text for r in rows} == cleaned
+    assert any(r.text != before[r.doc_id].text for r in rows)
+    for r in rows:
+        assert r.n_chars == before[r.doc_id].n_chars and r.source == before[r.doc_id].source
+        assert not any(map(plain_fails, r.text.split("\n")))
+
+
+def test_keep_clean_with_awkward_columns(spark):
+    from pyspark.sql import functions as F
+
+    frame = awkward(spark).select("*", F.lit(5).alias("a.b"), F.lit(6).alias("n_words"))
+    kept = line_rules.keep_clean(frame)
+    assert kept.columns == frame.columns
+    assert {(r["a.b"], r["n_words"]) for r in kept.collect()} <= {(5, 6)}
+    words = " ".join(f"word{i}" for i in range(30)) + "."
+    text = f"{words}\nHome | About | Contact"
+    only = spark.createDataFrame([(text,), (None,), (text,)], "text string")
+    assert [r.text for r in line_rules.keep_clean(only).collect()] == [words] * 2
 
 
 def test_query_keeps_good_documents(spark, sf_dir):
