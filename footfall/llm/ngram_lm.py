@@ -5,7 +5,10 @@ block, its distinct n-grams as sorted 64-bit hashes with their counts in
 training documents, cut into ranges of the hash; a range adds up all blocks
 and answers each with the totals of exactly the n-grams it asked for, in order.
 So no n-gram is a hot key (it comes once per block), no model is broadcast,
-and what moves grows with the text.
+and what moves grows with the text.  Blocks are dealt by id and text and equal
+rows are counted in the JVM before Python reads them, so neither a NULL id nor a
+row repeated without end makes a block large.  There are as many ranges and
+partitions as blocks, so both keep their size however large the corpus is.
 
 From its answers a block builds its part of the automaton: a state for every
 known context, an arc for every known n-gram with its log-probability, and a
@@ -37,11 +40,14 @@ PRIORS = (4.0, 64.0, 1024.0, 16384.0, 1048576.0)
 
 @dataclass
 class Block:
-    """The tokens of a block's documents, one document after the other."""
+    """The tokens of a block's documents, one document after the other.
+
+    ``weight`` is how many equal training rows a token stands for, or 0.
+    """
 
     tokens: np.ndarray
     lengths: np.ndarray
-    train: np.ndarray
+    weight: np.ndarray
 
     def grams(self, order: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the n-gram that ends at each token, and whether there is one."""
@@ -60,8 +66,10 @@ class Block:
 _WORDS = WordHashes(seed=7)
 
 
-def read_block(text: list[bytes], train: np.ndarray) -> Block:
+def read_block(table: pa.Table) -> Block:
     """Split texts at ASCII blanks, lower-case A-Z, and add an end to each."""
+    text = table["text"].to_pylist()
+    weight = np.where(table["train"].to_numpy(), table["copies"].to_numpy(), 0)
     end = np.array([END], np.uint64)
     parts, lengths = [], []
     for value in text:
@@ -69,23 +77,23 @@ def read_block(text: list[bytes], train: np.ndarray) -> Block:
         parts += [_WORDS.of(words), end]
         lengths.append(len(words) + 1)
     flat = np.concatenate(parts) if parts else np.empty(0, np.uint64)
-    return Block(flat, np.array(lengths, np.int64), np.repeat(train, lengths))
+    return Block(flat, np.array(lengths, np.int64), np.repeat(weight, lengths))
 
 
 def _distinct(block: Block, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct n-grams, each token's index among them (-1: none), training counts."""
     hashed, inside = block.grams(order)
     unique, inverse = np.unique(hashed[inside], return_inverse=True)
-    counts = np.bincount(inverse, weights=block.train[inside], minlength=len(unique))
+    counts = np.bincount(inverse, weights=block.weight[inside], minlength=len(unique))
     index = np.full(len(hashed), -1, np.int64)
     index[inside] = inverse
     return unique, index, counts.astype(np.int64)
 
 
-def _ranges(unique: np.ndarray, bits: int) -> np.ndarray:
-    """Where each range of the hash starts in a sorted list, and its end."""
-    edges = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
-    return np.concatenate([[0], np.searchsorted(unique, edges), [len(unique)]])
+def _ranges(unique: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges of the hash that a sorted list reaches, and where each starts and ends."""
+    parts, starts = np.unique(unique >> np.uint64(64 - bits), return_index=True)
+    return parts, np.append(starts, len(unique))
 
 
 def _sorted_rows(table: pa.Table) -> pa.Table:
@@ -93,32 +101,29 @@ def _sorted_rows(table: pa.Table) -> pa.Table:
     return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
-def _dealt(docs: DataFrame, train: Column) -> DataFrame:
-    """``doc_id``, ``text`` (bytes), ``train`` and the block of each document."""
-    rows = texts(docs, train.alias("train"))
-    n = blocks(rows, BLOCK_CHARS)
-    return rows.select(
+def _dealt(docs: DataFrame, train: Column, n: int) -> DataFrame:
+    """Distinct rows of ``doc_id``, ``text`` (bytes) and ``train`` with ``copies`` and block."""
+    rows = texts(docs, train.alias("train")).select(
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("block"),
         "doc_id",
         F.col("text").cast("binary").alias("text"),
         F.coalesce("train", F.lit(False)).alias("train"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("block"),
     )
+    equal = rows.repartition(n, "block").groupBy("block", "doc_id", "text", "train")
+    return equal.agg(F.count(F.lit(1)).alias("copies"))
 
 
 def _requests(dealt: DataFrame, order: int, bits: int) -> DataFrame:
     """Per block and range: sorted n-gram hashes of each order and their training counts."""
 
     def run(key, table):
-        table = _sorted_rows(table)
-        block = read_block(table["text"].to_pylist(), table["train"].to_numpy())
+        block = read_block(_sorted_rows(table))
         out = []
         for n in range(1, order + 1):
             unique, _, counts = _distinct(block, n)
-            cuts = _ranges(unique, bits)
-            for part in range(1 << bits):
-                a, b = cuts[part], cuts[part + 1]
-                if a < b:
-                    out.append((n, part, pack(unique[a:b]), counts[a:b].astype("<u4").tobytes()))
+            parts, cuts = _ranges(unique, bits)
+            for part, a, b in zip(parts.tolist(), cuts, cuts[1:]):
+                out.append((n, part, pack(unique[a:b]), planes(counts[a:b])))
         return pa.table(
             {
                 "block": pa.array([key[0].as_py()] * len(out), pa.int32()),
@@ -134,28 +139,36 @@ def _requests(dealt: DataFrame, order: int, bits: int) -> DataFrame:
     )
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Sorted 64-bit values as differences in as few byte planes as they need.
+def planes(values: np.ndarray) -> bytes:
+    """64-bit values in as few byte planes as the largest of them needs.
 
     Planes put equal high bytes side by side, where compression removes them.
     """
-    deltas = np.diff(values, prepend=np.uint64(0)).astype("<u8")
-    planes = deltas.view(np.uint8).reshape(-1, 8).T
+    split = values.astype("<u8").view(np.uint8).reshape(-1, 8).T
     used = 8
-    while used > 1 and not planes[used - 1].any():
+    while used > 1 and not split[used - 1].any():
         used -= 1
-    return bytes([used]) + planes[:used].tobytes()
+    return bytes([used]) + split[:used].tobytes()
 
 
-def unpack(packed: bytes) -> np.ndarray:
+def unplaned(packed: bytes) -> np.ndarray:
     used = packed[0]
     n = (len(packed) - 1) // used
-    planes = np.zeros((8, n), np.uint8)
-    planes[:used] = np.frombuffer(packed, np.uint8, offset=1).reshape(used, n)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+    split = np.zeros((8, n), np.uint8)
+    split[:used] = np.frombuffer(packed, np.uint8, offset=1).reshape(used, n)
+    return np.ascontiguousarray(split.T).view("<u8").ravel()
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Sorted 64-bit values as planes of their differences."""
+    return planes(np.diff(values, prepend=np.uint64(0)))
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    return np.cumsum(unplaned(packed), dtype=np.uint64)
 
 
-def _answers(requests: DataFrame) -> DataFrame:
+def _answers(requests: DataFrame, partitions: int) -> DataFrame:
     """Totals over all blocks, sent back to each block in the order it asked.
 
     A row of block -1 per range holds its number of distinct n-grams seen in
@@ -164,11 +177,11 @@ def _answers(requests: DataFrame) -> DataFrame:
 
     def run(key, table):
         grams = [unpack(x) for x in table["grams"].to_pylist()]
-        counts = [np.frombuffer(x, "<u4") for x in table["counts"].to_pylist()]
+        counts = [unplaned(x) for x in table["counts"].to_pylist()]
         unique, inverse = np.unique(np.concatenate(grams), return_inverse=True)
         totals = np.bincount(inverse, weights=np.concatenate(counts), minlength=len(unique))
         totals = totals.astype(np.int64)
-        back = np.split(totals[inverse].astype("<u4"), np.cumsum([len(g) for g in grams])[:-1])
+        back = np.split(totals[inverse], np.cumsum([len(g) for g in grams])[:-1])
         n, part = key[0].as_py(), key[1].as_py()
         size = table.num_rows + 1
         return pa.table(
@@ -176,13 +189,14 @@ def _answers(requests: DataFrame) -> DataFrame:
                 "block": pa.array(table["block"].to_pylist() + [-1], pa.int32()),
                 "n": pa.array([n] * size, pa.int32()),
                 "part": pa.array([part] * size, pa.int32()),
-                "totals": pa.array([x.tobytes() for x in back] + [b""], pa.binary()),
+                "totals": pa.array([planes(x) for x in back] + [b""], pa.binary()),
                 "seen": pa.array([0] * (size - 1) + [int((totals > 0).sum())], pa.int64()),
                 "sum": pa.array([0] * (size - 1) + [int(totals.sum())], pa.int64()),
             }
         )
 
-    return requests.groupBy("n", "part").applyInArrow(
+    dealt = requests.repartition(partitions, "n", "part")
+    return dealt.groupBy("n", "part").applyInArrow(
         run, "block int, n int, part int, totals binary, seen long, sum long"
     )
 
@@ -233,7 +247,9 @@ def traverse(automaton: Automaton, index: list[np.ndarray], totals: list[np.ndar
     score, open_ = np.zeros(size), np.ones(size, bool)
     for n in range(len(index), 0, -1):
         gram = index[n - 1]
-        weight = np.where(gram >= 0, automaton.arc[n][gram], np.nan) if len(gram) else score
+        known = gram >= 0
+        weight = np.full(size, np.nan)
+        weight[known] = automaton.arc[n][gram[known]]
         here = open_ & ~np.isnan(weight)
         score[here] += weight[here]
         open_ &= ~here
@@ -262,13 +278,13 @@ def _score_block(rows: pa.Table, replies: pa.Table, order: int, total: int, seen
     """Columns of a block's documents: base score, scores and left-out scores by prior."""
     rows = _sorted_rows(rows)
     replies = replies.sort_by([("n", "ascending"), ("part", "ascending")])
-    block = read_block(rows["text"].to_pylist(), rows["train"].to_numpy())
+    block = read_block(rows)
     index, totals = [], []
     asked, answered = np.array(replies["n"]), replies["totals"].to_pylist()
     for n in range(1, order + 1):
         index.append(_distinct(block, n)[1])
-        mine = [np.frombuffer(answered[i], "<u4") for i in np.flatnonzero(asked == n)]
-        totals.append(np.concatenate([*mine, np.empty(0, "<u4")]).astype(np.int64))
+        mine = [unplaned(answered[i]) for i in np.flatnonzero(asked == n)]
+        totals.append(np.concatenate([*mine, np.empty(0, "<u8")]).astype(np.int64))
     starts = np.cumsum(block.lengths) - block.lengths
     counts = totals[0][index[0]]
 
@@ -280,10 +296,11 @@ def _score_block(rows: pa.Table, replies: pa.Table, order: int, total: int, seen
         automaton = compile_block(totals, index, total, seen, prior)
         scores.append(of_documents(traverse(automaton, index, totals)))
         own = left_out(index, totals, total, seen, prior) if total else np.zeros(len(counts))
-        without.append(of_documents(np.where(block.train, own, 0.0)))
+        without.append(of_documents(np.where(block.weight > 0, own, 0.0)))
     return {
         "doc_id": rows["doc_id"],
         "train": rows["train"],
+        "copies": rows["copies"],
         "n_tokens": pa.array(block.lengths, pa.int64()),
         "n_known": pa.array(of_documents((counts > 0).astype(np.int64))),
         "base_score": pa.array(of_documents(np.log10((counts + 1) / (total + seen + 1)))),
@@ -292,6 +309,15 @@ def _score_block(rows: pa.Table, replies: pa.Table, order: int, total: int, seen
     }
 
 
+def _every_copy(counted: DataFrame) -> DataFrame:
+    """As many rows as ``copies`` says, made in steps so that no array is long."""
+    step = 10_000
+    some = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / step)))
+    left = F.least(F.lit(step), F.col("copies") - F.col("__step") * step)
+    each = F.explode(F.sequence(F.lit(1).cast("long"), left))
+    return counted.select("*", some.alias("__step")).select("*", each.alias("__copy"))
+
+
 def score(
     docs: DataFrame, train: Column, order: int = ORDER, priors: tuple[float, ...] = PRIORS
 ) -> DataFrame:
@@ -303,18 +329,19 @@ def score(
     hold the end token alone.  Without training rows every token is unknown.
     """
     spark = docs.sparkSession
-    dealt = _dealt(docs, train)
-    bits = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length())
+    n = blocks(texts(docs), BLOCK_CHARS)
+    dealt = _dealt(docs, train, n)
+    bits = max(1, (2 * n - 1).bit_length())  # ranges: two to four a block
     path = fresh_folder(spark, "ngrams")
-    _answers(_requests(dealt, order, bits)).write.parquet(path)
+    _answers(_requests(dealt, order, bits), n).write.parquet(path)
     answers = spark.read.parquet(path)
     known = answers.where("block = -1 AND n = 1").agg(F.sum("sum"), F.sum("seen")).first()
     total, seen = int(known[0] or 0), int(known[1] or 0)
 
     docs_type = docs.select("doc_id").limit(0).toArrow().schema.field(0).type
-    names = ["doc_id", "train", "n_tokens", "n_known", "base_score", "scores", "without"]
+    names = ["doc_id", "train", "copies", "n_tokens", "n_known", "base_score", "scores", "without"]
     lists = pa.list_(pa.float64())
-    kinds = [docs_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), lists, lists]
+    kinds = [docs_type, pa.bool_(), *[pa.int64()] * 3, pa.float64(), lists, lists]
 
     def run(key, rows, replies):
         if not rows.num_rows:
@@ -323,17 +350,19 @@ def score(
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (
-        f"doc_id {kind}, train boolean, n_tokens long, n_known long, base_score double, "
+        f"doc_id {kind}, train boolean, copies long, n_tokens long, n_known long, base_score double, "
         "scores array<double>, without array<double>"
     )
     asked = answers.where("block >= 0").select("block", "n", "part", "totals")
+    asked = asked.repartition(n, "block")
     scored = dealt.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(run, schema)
     path = fresh_folder(spark, "scores")
     scored.write.parquet(path)
     scored = spark.read.parquet(path)
-    sums = scored.agg(*(F.sum(F.get("without", F.lit(i))) for i in range(len(priors)))).first()
+    weighed = (F.get("without", F.lit(i)) * F.col("copies") for i in range(len(priors)))
+    sums = scored.agg(*map(F.sum, weighed)).first()
     best = max(range(len(priors)), key=lambda i: (sums[i] or 0.0, i))
-    return scored.select(
+    return _every_copy(scored).select(
         "doc_id",
         "train",
         "n_tokens",

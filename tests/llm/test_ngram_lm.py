@@ -64,6 +64,22 @@ def test_awkward_rows(spark, monkeypatch, order):
     assert ngram_lm.score(awkward(spark, []), F.lit(True)).count() == 0
 
 
+def test_a_third_of_all_rows_under_one_null_id(spark, monkeypatch):
+    """Rows of a NULL id spread over blocks, and repeated rows reach Python once."""
+    monkeypatch.setattr(ngram_lm, "BLOCK_CHARS", 2_000)
+    other = [(i, f"word{i % 7} and word{i % 11} again") for i in range(400)]
+    loose = [(None, f"nothing {i % 50} of a kind {i}") for i in range(100)]
+    every = other + loose + [(None, "one row many times")] * 12_345
+    frame = spark.createDataFrame(every, "doc_id long, text string")
+    n = ngram_lm.blocks(frame, ngram_lm.BLOCK_CHARS)
+    dealt = ngram_lm._dealt(frame, F.lit(True), n)
+    sizes = [r["count"] for r in dealt.groupBy("block").count().collect()]
+    assert dealt.count() == 501 and max(sizes) <= 20 and dealt.where("copies > 1").count() == 1
+    learn = F.coalesce(F.col("doc_id") % 3 != 0, F.lit(True))
+    scored = ngram_lm.score(frame, learn, 2, (4.0,)).collect()
+    check(scored, brute(every, lambda i: i is None or i % 3 != 0))
+
+
 def test_nothing_to_learn_from(spark):
     rows = ngram_lm.score(awkward(spark), F.lit(False)).collect()
     assert all(r.n_known == 0 and r.train_tokens == 0 for r in rows)
@@ -73,6 +89,9 @@ def test_packing():
     values = np.unique(np.random.default_rng(0).integers(0, 2**63, 5000).astype(np.uint64) * 2)
     assert (ngram_lm.unpack(ngram_lm.pack(values)) == values).all()
     assert (ngram_lm.unpack(ngram_lm.pack(values[:1])) == values[:1]).all()
+    totals = np.array([0, 5, 2**32 + 5, 2**53], np.int64)
+    assert (ngram_lm.unplaned(ngram_lm.planes(totals)) == totals).all()
+    assert len(ngram_lm.planes(totals[:2])) == 3
 
 
 def test_query(spark, sf_dir, monkeypatch):
