@@ -51,6 +51,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *(count(kind).alias(f"n_{kind}") for kind in pii.BASE),
         F.sha2(pii.listed(base), 256).alias("base_sha256"),
         pii.listed(F.col("spans")).alias("spans"),
+        pii.scored(F.col("spans")).alias("scores"),
     )
 
 

@@ -3,6 +3,8 @@ from __future__ import annotations
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from footfall.llm import pii
 from footfall.llm.queries import op1_pii
 from tests.llm.frames import awkward, documents, noise
@@ -91,6 +93,45 @@ def test_redact(spark):
     assert rows[0].asDict().keys() == frame.first().asDict().keys()
 
 
+def test_redact_leaves_columns_of_other_meaning_alone(spark):
+    schema = "doc_id long, text string, spans string, rank int, context string"
+    frame = spark.createDataFrame([(1, "write to a@b.com", "mine", 7, "own")], schema)
+    row = pii.redact(frame).first()
+    assert tuple(row) == (1, "write to <email>", "mine", 7, "own")
+
+
+def test_scores_name_the_word_that_raised_them(spark):
+    cases = {
+        "write to a@b.com": "email:9:1.0:write to",
+        "see a@b.com": "email:4:0.9:",
+        "exemple a@b.com": "email:8:0.6:",
+        "Kontakt: a@b.com": "email:9:1.0:kontakt",
+        "Konto DE89 3704 0044 0532 0130 00": "iban:6:1.0:konto",
+        "tarjeta 4111 1111 1111 1111": "card:8:1.0:tarjeta",
+        "": "",
+    }
+    frame = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    found = pii.find(frame).select("text", pii.scored(F.col("spans")).alias("scores"))
+    assert {r.text: r.scores for r in found.collect()} == cases
+
+
+def test_account_numbers_have_the_length_of_their_country(spark):
+    def checked(body, country):
+        spelled = "".join(str(int(c, 36)) for c in body + country + "00")
+        return f"{country}{98 - int(spelled) % 97:02d}{body}"
+
+    cases = {
+        checked("370400440532013000", "DE"): 1,
+        checked("3704004405320130001", "DE"): 0,
+        checked("NWBK60161331926819", "GB"): 1,
+        checked("NWBK6016133192681", "GB"): 0,
+        checked("123456789012345", "ZZ"): 1,
+    }
+    frame = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    for row in pii.find(frame).collect():
+        assert sum(s.kind == "iban" for s in row.spans) == cases[row.text], row.text
+
+
 def test_query(spark, sf_dir):
     rows = op1_pii(spark, sf_dir).collect()
     texts = {r.doc_id: r.text for r in documents(spark, sf_dir).collect()}
