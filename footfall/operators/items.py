@@ -20,16 +20,21 @@ from footfall.functions import (
     users,
     users_where,
 )
+from footfall.functions.measures import ROWS
 from footfall.params import ITEM_CONVERSION, TOP_N
 
 
-def hot_rank(log: DataFrame, key: str, n: int | None) -> DataFrame:
-    """Rows per behaviour and in total for each key, largest total first."""
-    counts = log.groupBy(key).agg(
+def hot_counts(log: DataFrame, key: str) -> DataFrame:
+    """Rows per behaviour and in total for each key."""
+    return log.groupBy(key).agg(
         *(rows_of(log, b).alias(b) for b in (VIEW, FAV, CART, BUY)),
         rows(log).alias("total"),
     )
-    return top(counts, n, F.desc("total"), F.col(key))
+
+
+def hot_rank(log: DataFrame, key: str, n: int | None) -> DataFrame:
+    """Rows per behaviour and in total for each key, largest total first."""
+    return top(hot_counts(log, key), n, F.desc("total"), F.col(key))
 
 
 def item_hot_rank(log: DataFrame, n: int | None = TOP_N.items) -> DataFrame:
@@ -40,6 +45,75 @@ def category_hot_rank(log: DataFrame, n: int | None = TOP_N.categories) -> DataF
     return hot_rank(log, "category_id", n)
 
 
+def heavy_keys(log: DataFrame, key: str, tracked: int, parts: int = 256) -> DataFrame:
+    """One row: ``names``, keys that may be frequent, ``n_rows``, and ``unseen``.
+
+    A key outside ``names`` has at most ``unseen`` rows.  The sketch follows
+    ``tracked`` keys, whatever their number in the log, and is merged in two
+    steps, so that no task reads the sketches of all others.
+    """
+    sketch = F.expr(f"approx_top_k_accumulate({key}, {tracked})")
+    by_part = log.groupBy((F.spark_partition_id() % parts).alias("part")).agg(
+        sketch.alias("state"), rows(log).alias("n_rows")
+    )
+    merged = by_part.agg(
+        F.expr(f"approx_top_k_combine(state, {tracked})").alias("state"),
+        F.sum("n_rows").alias("n_rows"),
+    )
+    found = merged.select(
+        F.expr(f"approx_top_k_estimate(state, {tracked})").alias("found"),
+        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+    )
+    # An estimate is off by at most 3.5 rows in ``tracked``, and a key is named
+    # once its least possible count exceeds that, so others have twice as many
+    # at most.  Where ``tracked`` keys are named, more may come after the last.
+    cut = F.when(F.size("found") >= tracked, F.array_min("found.count")).otherwise(0)
+    off = F.ceil(F.col("n_rows") * F.lit(7.0) / tracked)
+    return found.select(
+        F.col("found.item").alias("names"), "n_rows", F.greatest(cut, off).alias("unseen")
+    )
+
+
+def hot_rank_sketched(log: DataFrame, key: str, n: int, tracked: int) -> DataFrame:
+    """As ``hot_rank``, without a shuffle of all keys where few of them stand out.
+
+    Keys found by a sketch, and NULL, are counted exactly in a second scan.
+    Another key has no more rows than the sketch can miss, nor more than are
+    left over by those counted.  If the last place has more, the ranking is
+    whole; otherwise all keys are counted.  The choice is made inside the plan
+    and never shows in the result.  A rollup of the log, whose rows weigh
+    differently, is small already and ranked as ever.
+    """
+    if ROWS in log.columns:
+        return hot_rank(log, key, n)
+    sketch = heavy_keys(log, key, tracked)
+    names = sketch.select(F.explode(F.concat(F.array(F.lit(None)), "names")).alias("__name"))
+    chosen = log.join(F.broadcast(names), F.col(key).eqNullSafe(F.col("__name")), "left_semi")
+    counted = hot_counts(chosen, key)
+    order = (F.desc("total"), F.col(key))
+    ranked = top(counted, n, *order)
+    seen = counted.agg(F.coalesce(F.sum("total"), F.lit(0))).scalar()
+    last = ranked.agg(F.when(F.count(F.lit(1)) == n, F.min("total")).otherwise(0)).scalar()
+    missed = sketch.select(F.least(F.col("n_rows") - seen, "unseen").alias("most"))
+    whole = missed.select((F.col("most") == 0) | (F.col("most") < last)).scalar()
+    every = hot_rank(log.where(~whole), key, n)
+    return top(ranked.where(whole).unionByName(every), n, *order)
+
+
+def item_hot_rank_sketched(
+    log: DataFrame, n: int = TOP_N.items, tracked: int = TOP_N.tracked_keys
+) -> DataFrame:
+    """``item_hot_rank`` for logs with very many items."""
+    return hot_rank_sketched(log, "item_id", n, tracked)
+
+
+def category_hot_rank_sketched(
+    log: DataFrame, n: int = TOP_N.categories, tracked: int = TOP_N.tracked_keys
+) -> DataFrame:
+    """``category_hot_rank`` for logs with very many categories."""
+    return hot_rank_sketched(log, "category_id", n, tracked)
+
+
 def cvr_base(log: DataFrame, key: str) -> DataFrame:
     """Distinct users per behaviour for each key, and buyers over interest.
 

@@ -24,6 +24,7 @@ class TopN:
     segment_categories: int = 20
     exported_items: int = 200
     exported_categories: int = 100
+    tracked_keys: int = 16384  # of a sketch that proposes frequent keys
 
 
 @dataclass(frozen=True)

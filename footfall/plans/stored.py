@@ -17,6 +17,7 @@ from footfall.operators import cleaning, cohorts, items, lookups, quality, range
 from footfall.plans.oracle import ONE_DAY_AGAIN, ORACLE, TOP_5000
 from footfall.plans.catalogue import (
     DATES,
+    FEW,
     ITEM,
     LONG_GAP_MINUTES,
     RANGE,
@@ -160,6 +161,12 @@ STORED: dict[str, Query] = {
     "category_stats_from_bitmaps": _from_ranges(ranges.activity_of, "category_id"),
     "item_low_cvr_approx": _on_items(lambda base: items.item_low_cvr_approx(base, error=EXACT)),
     "item_low_cvr_approx_error": _on_items(items.traffic_sketch_holds),
+    "item_hot_rank_sketched": lambda spark, sf_dir: items.item_hot_rank_sketched(
+        orders_log(spark, sf_dir, user=False, category=False)
+    ),
+    "category_hot_rank_sketched": lambda spark, sf_dir: items.category_hot_rank_sketched(
+        orders_log(spark, sf_dir, user=False), FEW
+    ),
     "category_items_deep": lambda spark, sf_dir: items.category_items(
         orders_log(spark, sf_dir), DEEP
     ),
@@ -184,6 +191,8 @@ _SAME = {
     "overview_from_bitmaps": "overview_in_dates",
     "category_stats_from_bitmaps": "category_stats_in_dates",
     "item_low_cvr_approx": "item_low_cvr",
+    "item_hot_rank_sketched": "item_hot_rank",
+    "category_hot_rank_sketched": "category_hot_rank_few",
 }
 
 STORED_SQL: dict[str, str] = {
