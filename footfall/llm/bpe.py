@@ -6,9 +6,9 @@ nondeterministic transducer: a hypothesis is a token sequence for a prefix
 plus a trie node for the token in progress, and a token may be appended where
 it is compatible with the one before.  States of the deterministic machine are
 sets of such hypotheses, made when first reached and as long as there is room;
-beyond it the hypotheses are followed as they are, with the same outcome.  A token is emitted as soon
-as all living hypotheses agree on it; the wait is bounded because hypotheses
-in progress are prefixes of vocabulary entries.
+beyond it the hypotheses are followed one after the other, with the same
+outcome.  A token is emitted as soon as all living hypotheses agree on it; the
+wait is bounded because hypotheses in progress are prefixes of vocabulary entries.
 
 The decoder is an incremental UTF-8 state machine: its state is the bytes of
 an unfinished character (at most three), its steps are whole tokens.
@@ -61,6 +61,8 @@ class Transducer:
             self.token_at[node] = rank
         self.fits: dict[int, bool] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
+        self.prefix: dict[int, int] = {}
+        self.widest = max(map(len, ranks))
         self.limit = limit
         self.states: list[tuple] = []
         self.number: dict[tuple, int] = {}
@@ -149,29 +151,51 @@ class Transducer:
         self.steps[state << 8 | byte] = step
         return step
 
+    def _shorter(self, token: int) -> int:
+        """The longest token that this one begins with; -1 for a single byte."""
+        found = self.prefix.get(token)
+        if found is None:
+            whole = self.bytes_of[token]
+            begins = (self.ranks.get(whole[:k]) for k in range(len(whole) - 1, 0, -1))
+            found = self.prefix[token] = next((r for r in begins if r is not None), -1)
+        return found
+
     def _simulate(self, piece: bytes) -> list[int]:
-        """The same without deterministic states: hypotheses side by side, then back."""
-        size, child, token_at, fits = len(piece), self.child, self.token_at, self.fits
-        last, start = [-1] + [None] * size, [0] * (size + 1)
-        for i in range(size):
-            before = last[i]
-            if before is None:
-                continue
-            node = 0
-            for j in range(i, size):
-                node = child.get(node << 8 | piece[j])
-                if node is None:
-                    break
-                token = token_at[node]
-                if token >= 0 and last[j + 1] is None:
-                    fit = fits.get(before << 32 | token)
-                    if fit or (fit is None and self._fit(before, token)):
-                        last[j + 1], start[j + 1] = token, i
-        out = []
-        while size:
-            out.append(last[size])
-            size = start[size]
-        return out[::-1]
+        """The same without deterministic states: one hypothesis after the other.
+
+        Longest tokens come first, and where no token goes on, the last one is
+        taken back for a shorter.  The bytes up to a place have one sequence
+        only, so a place that led nowhere is not tried again, and the number
+        of trials is linear in the bytes.
+        """
+        size, bytes_of, fits = len(piece), self.bytes_of, self.fits
+        child, token_at = self.child.get, self.token_at
+        out: list[int] = []
+        nowhere: set[int] = set()
+        at, before, token = 0, -1, -1
+        while at < size:
+            if token < 0:  # the longest that begins here
+                node = 0
+                for byte in piece[at : at + self.widest]:
+                    node = child(node << 8 | byte)
+                    if node is None:
+                        break
+                    if token_at[node] >= 0:
+                        token = token_at[node]
+            end = at + len(bytes_of[token])
+            if end not in nowhere:
+                fit = fits.get(before << 32 | token)
+                if fit or (fit is None and self._fit(before, token)):
+                    out.append(token)
+                    at, before, token = end, token, -1
+                    continue
+            token = self._shorter(token)
+            if token < 0:
+                nowhere.add(at)
+                token = out.pop()
+                at -= len(bytes_of[token])
+                before = out[-1] if out else -1
+        return out
 
     def encode(self, piece: bytes) -> list[int]:
         """Token ids of one piece."""
