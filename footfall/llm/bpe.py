@@ -254,12 +254,18 @@ class Encoder:
         self.words = re.compile(r"(?<=\S) (?=\S)").split
         self.transducer = Transducer(ranks)
         self.pieces = Memory(self._piece)
-        self.later = Memory(lambda word: self._split(" " + word), WORD_LIMIT)
+        self.later = Memory(self._word, WORD_LIMIT)
 
     def _piece(self, piece: str) -> bytes:
         ids = self.transducer.encode(piece.encode())
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _word(self, word: str) -> bytes:
+        found = self.find(" " + word)
+        if len(found) == 1:  # remembered as a word, so not as a piece
+            return self._piece(found[0])
+        return b"".join(map(self.pieces.__getitem__, found))
+
     def _split(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.find(text)))
 
