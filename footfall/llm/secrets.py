@@ -3,19 +3,24 @@
 Candidates are the base findings and every other token of 16 characters or
 more, long words included.  A convolutional
 network in numpy reads each candidate with its surroundings.  It is trained on
-findings labelled by the base patterns, with the telling words before them
+all findings, labelled by the base patterns, with the telling words before them
 hidden for a part, so that it learns what secrets look like; its outputs are
 calibrated on windows it has not seen, and the threshold is the highest that still
 finds the wanted share of the secrets among those.
 
-One pass stores candidates per document, one more scores them; nothing is
-shuffled, and the training sample is bounded by a parameter.
+One pass stores candidates per document, one more scores them.  For training,
+all distinct windows are dealt by hash into parts of bounded size.  In each
+round every part goes on from the same network, and the mean of what they
+learned is the next; calibration and threshold come from sums and ranks over
+the held-out windows of all parts.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +41,9 @@ TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
 KINDS = ("assign", "access", "hex", "other")
 
 BEFORE, INSIDE, AFTER = 24, 40, 8
-SAMPLE = 3000  # candidates per label that are trained on, at most
+PART = 8000  # distinct windows that one task trains on at a time, about
+MEANS = 100  # networks that are averaged in one task
+ROUNDS, FULL = 10, 50_000  # beyond so many windows, each is seen less often, once a round at least
 RECALL = 0.98
 WIDTH, FILTERS, EMBED = 5, 24, 8
 EPOCHS, RATE, SEED = 30, 0.01, 5
@@ -107,6 +114,9 @@ class Network:
         logit = np.concatenate(
             [self.forward(part)[0] for part in np.array_split(coded, max(1, len(coded) // 512))]
         )
+        return self.calibrated(logit)
+
+    def calibrated(self, logit: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * logit + self.offset, -30, 30)))
 
 
@@ -121,23 +131,43 @@ def _start() -> Network:
     )
 
 
+NAMES = ("embed", "kernel", "shift", "out", "bias")
+
+
+def _coded(windows: bytes) -> np.ndarray:
+    return np.frombuffer(windows, np.uint8).reshape(-1, LENGTH).astype(np.int64)
+
+
+def _hidden(coded: np.ndarray) -> np.ndarray:
+    """Windows without what stands before the candidate."""
+    hidden = coded.copy()
+    hidden[:, :BEFORE] = 0
+    return hidden
+
+
 def fit(windows: list[bytes], labels: np.ndarray) -> Network:
     """Train, calibrate and set the threshold; without both labels nothing is added."""
     network = _start()
     if len(set(labels.tolist())) < 2:
         return network
     random = np.random.default_rng(SEED)
-    coded = np.frombuffer(b"".join(windows), np.uint8).reshape(len(windows), -1).astype(np.int64)
-    hidden = coded.copy()
-    hidden[:, :BEFORE] = 0
+    coded = _coded(b"".join(windows))
     mix = random.permutation(len(coded))
     held, kept = mix[: len(mix) // 4], mix[len(mix) // 4 :]
-    names = ("embed", "kernel", "shift", "out", "bias")
+    network = _descend(network, coded[kept], labels[kept], EPOCHS, random)
+    return _calibrate(network, _hidden(coded[held]), labels[held])
+
+
+def _descend(
+    network: Network, coded: np.ndarray, labels: np.ndarray, epochs: int, random: np.random.Generator
+) -> Network:
+    """Gradient steps (Adam) over all windows, ``epochs`` times."""
+    network, names, hidden = replace(network), NAMES, _hidden(coded)
     first = {k: np.zeros_like(getattr(network, k)) for k in names}
     second = {k: np.zeros_like(getattr(network, k)) for k in names}
     step = 0
-    for _ in range(EPOCHS):
-        for chosen in np.array_split(random.permutation(kept), max(1, len(kept) // 64)):
+    for _ in range(epochs):
+        for chosen in np.array_split(random.permutation(len(coded)), max(1, len(coded) // 64)):
             masked = random.random(len(chosen))[:, None] < 0.5
             seen = np.where(masked, hidden[chosen], coded[chosen])
             logit, (stacked, peak, pooled, active) = network.forward(seen)
@@ -163,7 +193,26 @@ def fit(windows: list[bytes], labels: np.ndarray) -> Network:
                 second[k] = 0.999 * second[k] + 0.001 * g * g
                 size = np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8
                 setattr(network, k, getattr(network, k) - RATE * first[k] / (1 - 0.9**step) / size)
-    return _calibrate(network, hidden[held], labels[held])
+    return network
+
+
+def _moments(network: Network, logit: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """What a step of calibration sums up over held-out windows."""
+    p = network.calibrated(logit)
+    w = p * (1 - p)
+    return np.array([(p - labels) @ logit, (p - labels).sum(), w @ (logit * logit), w @ logit, w.sum()])
+
+
+def _fit_scale(network: Network, moments: Callable[[Network], np.ndarray]) -> None:
+    """Logistic calibration: Newton steps on two parameters, with a small prior for stability."""
+    for _ in range(50):
+        a, b, c, d, e = moments(network)
+        curve = np.array([[c + 1e-2, d], [d, e + 1e-2]])
+        move = np.linalg.solve(curve, np.array([a + 1e-2 * (network.scale - 1), b]))
+        network.scale -= float(np.clip(move[0], -1, 1))
+        network.offset -= float(np.clip(move[1], -1, 1))
+        if np.abs(move).max() < 1e-9:
+            break
 
 
 def _calibrate(network: Network, coded: np.ndarray, labels: np.ndarray) -> Network:
@@ -171,14 +220,7 @@ def _calibrate(network: Network, coded: np.ndarray, labels: np.ndarray) -> Netwo
     if len(set(labels.tolist())) < 2:
         return network
     logit = network.forward(coded)[0]
-    for _ in range(50):  # Newton steps on two parameters, with a small prior for stability
-        p = 1 / (1 + np.exp(-np.clip(network.scale * logit + network.offset, -30, 30)))
-        slope = np.array([(p - labels) @ logit + 1e-2 * (network.scale - 1), (p - labels).sum()])
-        w = p * (1 - p)
-        curve = np.array([[w @ (logit * logit) + 1e-2, w @ logit], [w @ logit, w.sum() + 1e-2]])
-        move = np.linalg.solve(curve, slope)
-        network.scale -= float(np.clip(move[0], -1, 1))
-        network.offset -= float(np.clip(move[1], -1, 1))
+    _fit_scale(network, lambda current: _moments(current, logit, labels))
     found = np.sort(network.probability(coded)[labels == 1])
     network.threshold = float(found[int((1 - RECALL) * len(found))])
     return network
@@ -211,22 +253,155 @@ def propose(docs: DataFrame, path: str) -> None:
     texts(docs).mapInArrow(run, f"doc_id {kind}, found array<{_SPAN}>").write.parquet(path)
 
 
-def train(spark: SparkSession, path: str, limit: int = SAMPLE) -> Network:
-    """Fit on at most ``limit`` distinct candidates of either label, chosen by hash."""
+def _stored_parts(spark: SparkSession, path: str, part: int) -> tuple[str, int, int]:
+    """Store all distinct labelled windows, one row per part, in an order of their own.
+
+    Columns: ``part``, ``windows`` and ``secret`` of those to learn from, and
+    ``held_windows`` and ``held_secret`` of a quarter.  Returns the folder and
+    the numbers of parts and of windows.
+    """
     each = spark.read.parquet(path).select(F.explode("found").alias("x"))
     starts = F.sequence(F.lit(1), F.length("x.window"), F.lit(LENGTH))
-    labelled = each.select(
-        (F.col("x.kind") < 3).alias("secret"),
-        F.explode(F.transform(starts, lambda i: F.substring("x.window", i, F.lit(LENGTH)))).alias(
-            "window"
-        ),
+    cut = F.transform(starts, lambda i: F.substring("x.window", i, F.lit(LENGTH)))
+    labelled = each.select((F.col("x.kind") < 3).alias("secret"), F.explode(cut).alias("window"))
+    distinct, parted = fresh_folder(spark, "windows"), fresh_folder(spark, "window-parts")
+    labelled.distinct().write.parquet(distinct)
+    rows = spark.read.parquet(distinct)
+    n = rows.count()
+    parts = max(1, math.ceil(n / part))
+    hashed = F.xxhash64("window")
+    dealt = rows.select(
+        F.pmod(hashed, F.lit(parts)).cast("int").alias("part"),
+        (F.pmod(F.shiftright(hashed, 40), F.lit(4)) == 0).alias("held"),
+        "secret",
+        "window",
     )
-    rows = []
-    for secret in (True, False):
-        part = labelled.where(F.col("secret") == secret).select("window").distinct()
-        rows += [(bytes(r[0]), secret) for r in
-                 part.orderBy(F.xxhash64("window"), "window").limit(limit).collect()]
-    return fit([w for w, _ in rows], np.array([s for _, s in rows], float))
+
+    def pack(key, table):
+        table = table.sort_by([("window", "ascending"), ("secret", "ascending")])
+        held = table["held"].to_numpy()
+        secret = table["secret"].to_numpy().astype(np.uint8)
+        window = np.array(table["window"].to_pylist(), object)
+        values = [v for side in (~held, held) for v in (b"".join(window[side]), secret[side].tobytes())]
+        return pa.table([[key[0].as_py()], *([v] for v in values)], schema=packed)
+
+    names = ("windows", "secret", "held_windows", "held_secret")
+    packed = pa.schema([("part", pa.int32()), *((name, pa.binary()) for name in names)])
+    schema = "part int, " + ", ".join(f"{name} binary" for name in names)
+    dealt.groupBy("part").applyInArrow(pack, schema).write.parquet(parted)
+    return parted, parts, n
+
+
+def _each_part(rows: DataFrame, columns: tuple[str, ...], work: Callable, schema: str) -> DataFrame:
+    """``part`` and the values that ``work`` makes of the columns of each part."""
+    names = [field.split()[0] for field in schema.split(", ")]
+
+    def run(batches):
+        for batch in batches:
+            parts = batch["part"].to_pylist()
+            for part, *values in zip(parts, *(batch[c].to_pylist() for c in columns)):
+                yield pa.RecordBatch.from_pylist(
+                    [{"part": part, **dict(zip(names, work(part, *values)))}],
+                    pa.schema([("part", pa.int32()), *((name, pa.binary()) for name in names)]),
+                )
+
+    return rows.select("part", *columns).mapInArrow(run, f"part int, {schema}")
+
+
+def _flat(network: Network) -> np.ndarray:
+    return np.concatenate([getattr(network, k).ravel() for k in NAMES])
+
+
+def _shaped(network: Network, flat: np.ndarray) -> Network:
+    sizes = np.cumsum([getattr(network, k).size for k in NAMES])[:-1]
+    values = zip(NAMES, np.split(flat, sizes))
+    return replace(network, **{k: v.reshape(getattr(network, k).shape) for k, v in values})
+
+
+def _mean(learned: DataFrame) -> np.ndarray | None:
+    """Mean of networks weighted by their windows; sums go by groups of parts, in order."""
+
+    def add(key, table):
+        rows = sorted(zip(table["part"].to_pylist(), table["sums"].to_pylist()))
+        total = np.sum([np.frombuffer(v) for _, v in rows], axis=0)
+        return pa.table([[key[0].as_py()], [total.tobytes()]], schema=schema)
+
+    schema = pa.schema([("group", pa.int32()), ("sums", pa.binary())])
+    grouped = learned.groupBy((F.col("part") / MEANS).cast("int").alias("group"))
+    rows = grouped.applyInArrow(add, "group int, sums binary").collect()
+    if not rows:
+        return None
+    total = np.sum([np.frombuffer(r.sums) for r in sorted(rows, key=lambda r: r.group)], axis=0)
+    return total[1:] / total[0] if total[0] else None
+
+
+def train(spark: SparkSession, path: str, part: int = PART) -> Network:
+    """Fit on all distinct candidates, in parts of about ``part`` windows; see the module's text."""
+    network = _start()
+    parted, parts, n = _stored_parts(spark, path, part)
+    if not n:
+        return network
+    stored = spark.read.parquet(parted).repartition(parts)
+    epochs = max(1, round(EPOCHS / ROUNDS * min(1, FULL / n)))
+    kinds = spark.read.parquet(path).select(F.explode("found.kind").alias("kind"))
+    if kinds.select(F.col("kind") < 3).distinct().count() < 2:
+        return network
+
+    for turn in range(ROUNDS):
+
+        def learn(key, windows, secret, network=network, turn=turn):
+            labels = np.frombuffer(secret, np.uint8).astype(float)
+            if not len(labels):
+                return (np.zeros(1 + _flat(network).size).tobytes(),)
+            random = np.random.default_rng([SEED, turn, key])
+            found = _flat(_descend(network, _coded(windows), labels, epochs, random))
+            return ((len(labels) * np.concatenate([[1.0], found])).tobytes(),)
+
+        mean = _mean(_each_part(stored, ("windows", "secret"), learn, "sums binary"))
+        if mean is None:
+            return network
+        network = _shaped(network, mean)
+    return _calibrate_all(spark, network, stored)
+
+
+def _calibrate_all(spark: SparkSession, network: Network, stored: DataFrame) -> Network:
+    """``_calibrate`` over the held-out windows of all parts."""
+
+    def judge(key, windows, secret):
+        coded = _hidden(_coded(windows))
+        split = np.array_split(coded, max(1, len(coded) // 512))
+        return np.concatenate([network.forward(x)[0] for x in split]).tobytes(), secret
+
+    path = fresh_folder(spark, "logits")
+    columns = ("held_windows", "held_secret")
+    _each_part(stored, columns, judge, "logit binary, secret binary").write.parquet(path)
+    judged = spark.read.parquet(path)
+
+    def summed(current: Network, of: Callable) -> np.ndarray:
+        def work(key, logit, secret):
+            logit, labels = np.frombuffer(logit), np.frombuffer(secret, np.uint8).astype(float)
+            return (np.asarray(of(current, logit, labels), float).tobytes(),)
+
+        rows = _each_part(judged, ("logit", "secret"), work, "sums binary").collect()
+        each = [np.frombuffer(r.sums) for r in sorted(rows, key=lambda r: r.part)]
+        return np.array([math.fsum(column) for column in zip(*each)])
+
+    n, secret = summed(network, lambda _, x, y: [len(y), y.sum()])
+    if not 0 < secret < n:
+        return network
+    _fit_scale(network, lambda current: summed(current, _moments))
+
+    def secrets_of(batches):
+        for batch in batches:
+            for logit, label in zip(batch["logit"].to_pylist(), batch["secret"].to_pylist()):
+                chosen = np.frombuffer(logit)[np.frombuffer(label, np.uint8) == 1]
+                yield pa.RecordBatch.from_arrays([pa.array(chosen)], ["logit"])
+
+    ranked = judged.select("logit", "secret").mapInArrow(secrets_of, "logit double").orderBy("logit")
+    rank = int((1 - RECALL) * int(secret))
+    logit = ranked.rdd.zipWithIndex().filter(lambda row: row[1] == rank).first()[0].logit
+    network.threshold = float(network.calibrated(np.array([logit]))[0])
+    return network
 
 
 def scan(docs: DataFrame) -> DataFrame:

@@ -111,3 +111,44 @@ def test_secrets_in_the_middle_of_long_tokens_are_found():
 
     assert np.mean([flagged(text(20) + secret(120) + text(20)) for _ in range(50)]) > 0.9
     assert np.mean([flagged(text(60)) for _ in range(50)]) < 0.1
+
+
+def _texts(n):
+    rng = np.random.default_rng(6)
+    hexes = ["".join(rng.choice(list("0123456789abcdef"), 40)) for _ in range(n)]
+    plain = ["".join(rng.choice(["the", "ing", "on", "er", "st"], 9)) for _ in range(n)]
+    return [(i, f"say {x} so") for i, x in enumerate(hexes + plain)]
+
+
+def test_training_sees_all_candidates_in_parts(spark, tmp_path):
+    docs = awkward(spark, _texts(500))
+    secrets.propose(docs, f"{tmp_path}/c")
+    parted, parts, n = secrets._stored_parts(spark, f"{tmp_path}/c", 150)
+    rows = spark.read.parquet(parted).collect()
+    want = {(secrets.windows(t, a, b), k < 3) for _, t in _texts(500)
+            for a, k, b in secrets.candidates(t)}
+    want = {(w[i : i + secrets.LENGTH], y) for w, y in want for i in range(0, len(w), secrets.LENGTH)}
+    got = [
+        (bytes(windows[i : i + secrets.LENGTH]), bool(labels[i // secrets.LENGTH]))
+        for r in rows
+        for windows, labels in ((r.windows, r.secret), (r.held_windows, r.held_secret))
+        for i in range(0, len(windows), secrets.LENGTH)
+    ]
+    assert parts > 4 and len(rows) == parts and n == len(got) == len(want) and set(got) == want
+    assert 0.15 < sum(len(r.held_secret) for r in rows) / n < 0.35
+
+
+def test_network_of_many_parts_is_one_network(spark, tmp_path):
+    secrets.propose(awkward(spark, _texts(500)), f"{tmp_path}/c")
+    network = secrets.train(spark, f"{tmp_path}/c", 150)
+    again = secrets.train(spark, f"{tmp_path}/c", 150)
+    assert network.threshold == again.threshold < 1 and (network.kernel == again.kernel).all()
+    rng = np.random.default_rng(7)
+    fresh = ["".join(rng.choice(list("0123456789abcdef"), 40)) for _ in range(200)]
+    words = ["".join(rng.choice(["the", "ing", "on", "er", "st"], 9)) for _ in range(200)]
+
+    def flagged(x):
+        coded = secrets._coded(b"".join(secrets.windows(f"say {t} so", 4, 4 + len(t))[: secrets.LENGTH] for t in x))
+        return (network.probability(coded) >= network.threshold).mean()
+
+    assert flagged(fresh) > 0.9 and flagged(words) < 0.1
