@@ -43,7 +43,9 @@ _NORMALIZERS = [
     {"type": "Lowercase"},
 ]
 _BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
-KNOWN_WORDS = 300_000  # that a process remembers, some 60 MB
+# A pattern of which no match holds white space, nor depends on what is beyond it.
+_WITHIN_SPACES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+KNOWN_WORDS = 300_000  # stretches of text that a process remembers, some 60 MB
 _STOP = "\0"  # stands for the end of a word
 
 
@@ -105,7 +107,9 @@ class WordEncoder:
     ``tiktoken`` applies the merges, in which letter and stop come first.  Texts
     with special strings, that are not normalised, that hold capitals whose lower
     form depends on more than themselves or characters unknown here, and all texts of any other file go to the library, so ids are always the
-    library's.  Words already seen are remembered, ``KNOWN_WORDS`` at most.
+    library's.  Where no word reaches over a space, what stands between spaces is
+    split and encoded when first seen and remembered, ``KNOWN_WORDS`` at most;
+    else words are.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -122,6 +126,7 @@ class WordEncoder:
 
             self.special = [t["content"] for t in spec.get("added_tokens") or []]
             self.unknown, self.words = _unknown(), regex.compile(pattern).findall
+            self.by_spaces = pattern == _WITHIN_SPACES
             self.merges = tiktoken.Encoding(
                 path, pat_str=r"[^\x00]*\x00", mergeable_ranks=ranks, special_tokens={}
             )
@@ -136,22 +141,28 @@ class WordEncoder:
     def text(self, text: str) -> bytes:
         if not self.plain or not self._as_usual(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
-        words = self.words(text.lower())
-        new = [word for word in set(words) if word not in self.known]
+        parts = self._parts(text.lower())
+        distinct = set(parts)
+        new = distinct.difference(self.known)
         if new:
             if len(self.known) + len(new) > KNOWN_WORDS:
-                self.known, new = {}, list(set(words))
-            self._learn(new)
-        return b"".join(map(self.known.__getitem__, words))
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode words in one go; the last token of each, and no other, holds the stop."""
-        ids = np.array(self.merges.encode_ordinary(_STOP.join(words) + _STOP), "<i4")
-        ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+                self.known, new = {}, distinct
+            self._learn(list(new))
+        return b"".join(map(self.known.__getitem__, parts))
+
+    def _parts(self, text: str) -> list[str]:
+        """Stretches that are encoded each by itself."""
+        return text.replace("\n", " ").split(" ") if self.by_spaces else self.words(text)
+
+    def _learn(self, parts: list[str]) -> None:
+        """Encode parts in one go; the last token of each word, and no other, holds the stop."""
+        found = list(map(self.words, parts)) if self.by_spaces else [[part] for part in parts]
+        every = [word for words in found for word in words]
+        ids = np.array(self.merges.encode_ordinary(_STOP.join([*every, ""])), "<i4")
+        ends = np.concatenate([[0], 4 * (np.flatnonzero(self.ends[ids]) + 1)])
+        ends = ends[np.cumsum([0, *map(len, found)])].tolist()
         packed = ids.tobytes()
-        self.known.update(
-            (word, packed[x:y]) for word, x, y in zip(words, [0, *ends], ends)
-        )
+        self.known.update((part, packed[x:y]) for part, x, y in zip(parts, ends, ends[1:]))
 
     def _as_usual(self, text: str) -> bool:
         return (
@@ -218,12 +229,15 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> N
 def metadata(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id``, ``start`` (ids of all documents before it), ``n_tokens``; no ids are read."""
     rows = spark.read.parquet(path).select("doc_id", "n_tokens", "part", "before")
-    return _started(rows).select("doc_id", "start", "n_tokens")
+    return _started(rows, rows).select("doc_id", "start", "n_tokens")
+
 
+def _started(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """Add ``start``: one row per partition of the writer is summed up in order.
 
-def _started(rows: DataFrame) -> DataFrame:
-    """Add ``start``: one row per partition of the writer is summed up in order."""
-    sizes = rows.groupBy("part").agg(F.sum("n_tokens").alias("size"))
+    ``counts`` has ``part`` and ``n_tokens`` of all rows, and is read for them alone.
+    """
+    sizes = counts.groupBy("part").agg(F.sum("n_tokens").alias("size"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         F.col("part").alias("of_part"),
@@ -260,6 +274,6 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
     stored = spark.read.parquet(path)
     kind = stored.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, part int, before long, ids_crc32 long"
-    return _started(stored.mapInArrow(run, schema)).select(
+    return _started(stored.mapInArrow(run, schema), stored).select(
         "doc_id", "start", "n_tokens", "ids_crc32"
     )

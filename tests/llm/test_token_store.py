@@ -83,3 +83,26 @@ def test_query(spark, sf_dir):
         assert (got.start, got.n_tokens) == (start, len(want))
         assert got.ids_crc32 == zlib.crc32(packed(want))
         start += len(want)
+
+
+def test_stretches_between_spaces_equal_the_library():
+    encoder = token_store.WordEncoder(WORDS, 1)
+    assert encoder.by_spaces
+    texts = noise("abC's1.,\n \t\x1c\x85\xa0\u2003\u3000", 3000, 30) + ["", " ", "\n", " a", "a\n\nb "]
+    for text in texts:
+        assert encoder.text(text) == packed(ids(text)[:-1]), repr(text)
+    assert "" in encoder.known and any("," in part and "a" in part for part in encoder.known)
+
+
+def test_stretches_are_forgotten_and_found_again(monkeypatch):
+    monkeypatch.setattr(token_store, "KNOWN_WORDS", 30)
+    encoder = token_store.WordEncoder(WORDS, 1)
+    for text in noise("abc's1., \n", 2000, 40):
+        assert encoder.text(text) == packed(ids(text)[:-1]), repr(text)
+        assert len(encoder.known) <= 60
+
+
+def test_ids_are_read_once_for_digests(spark, sf_dir, tmp_path):
+    token_store.write(documents(spark, sf_dir), f"{tmp_path}/t", WORDS)
+    plan = token_store.digests(spark, f"{tmp_path}/t")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
