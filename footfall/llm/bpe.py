@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from footfall.llm.common import texts
 
 # What a process remembers; no limit shows in results.
-STEP_LIMIT = 60_000  # deterministic steps, beyond which hypotheses are simulated
+STEP_LIMIT = 10_000  # deterministic steps, beyond which hypotheses are simulated
+START, START_LIMIT = 4, 100_000  # bytes of a beginning, and beginnings of one known longest token
 PAIR_LIMIT = 1_000_000  # verdicts on neighbours
 PIECE_LIMIT = 100_000  # pieces, and as many of an older half
 WORD_LIMIT = 400_000  # words, likewise; the older half is dropped when a task ends
@@ -62,6 +63,8 @@ class Transducer:
         self.fits: dict[int, bool] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.prefix: dict[int, int] = {}
+        self.longest: dict[bytes, int] = {}
+        self.length = {rank: len(token) for token, rank in ranks.items()}
         self.widest = max(map(len, ranks))
         self.limit = limit
         self.states: list[tuple] = []
@@ -160,29 +163,41 @@ class Transducer:
             found = self.prefix[token] = next((r for r in begins if r is not None), -1)
         return found
 
-    def _simulate(self, piece: bytes) -> list[int]:
+    def _walk(self, piece: bytes, at: int) -> int:
+        """The longest token that begins at a place; remembered if its first bytes decide it."""
+        child, token_at = self.child.get, self.token_at
+        node, token, walked = 0, -1, 0
+        for byte in piece[at : at + self.widest]:
+            node = child(node << 8 | byte)
+            walked += 1
+            if node is None:
+                break
+            if token_at[node] >= 0:
+                token = token_at[node]
+        if node is None and walked <= START:
+            if len(self.longest) >= START_LIMIT:
+                self.longest.clear()
+            self.longest[piece[at : at + START]] = token
+        return token
+
+    def _simulate(self, piece: bytes, out: list[int]) -> list[int]:
         """The same without deterministic states: one hypothesis after the other.
 
-        Longest tokens come first, and where no token goes on, the last one is
-        taken back for a shorter.  The bytes up to a place have one sequence
-        only, so a place that led nowhere is not tried again, and the number
-        of trials is linear in the bytes.
+        ``out`` holds the tokens that all hypotheses agreed on so far.  Longest
+        tokens come first, and where no token goes on, the last one is taken
+        back for a shorter.  The bytes up to a place have one sequence only, so
+        a place that led nowhere is not tried again, and the number of trials
+        is linear in the bytes.
         """
-        size, bytes_of, fits = len(piece), self.bytes_of, self.fits
-        child, token_at = self.child.get, self.token_at
-        out: list[int] = []
+        size, length, fits, longest = len(piece), self.length, self.fits, self.longest.get
         nowhere: set[int] = set()
-        at, before, token = 0, -1, -1
+        at, before, token = sum(map(length.__getitem__, out)), out[-1] if out else -1, -1
         while at < size:
-            if token < 0:  # the longest that begins here
-                node = 0
-                for byte in piece[at : at + self.widest]:
-                    node = child(node << 8 | byte)
-                    if node is None:
-                        break
-                    if token_at[node] >= 0:
-                        token = token_at[node]
-            end = at + len(bytes_of[token])
+            if token < 0:
+                token = longest(piece[at : at + START], -1)
+                if token < 0:
+                    token = self._walk(piece, at)
+            end = at + length[token]
             if end not in nowhere:
                 fit = fits.get(before << 32 | token)
                 if fit or (fit is None and self._fit(before, token)):
@@ -193,7 +208,7 @@ class Transducer:
             if token < 0:
                 nowhere.add(at)
                 token = out.pop()
-                at -= len(bytes_of[token])
+                at -= length[token]
                 before = out[-1] if out else -1
         return out
 
@@ -208,7 +223,7 @@ class Transducer:
             step = steps.get(state << 8 | byte)
             if step is None:
                 if len(steps) >= self.limit:
-                    return self._simulate(piece)
+                    return self._simulate(piece, out)
                 step = self._advance(state, byte)
             state, emitted = step
             if emitted:
@@ -251,7 +266,7 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.find = regex.compile(pattern).findall
-        self.words = re.compile(r"(?<=\S) (?=\S)").split
+        self.between = re.compile(r"(?<=\S) (?=\S)").split
         self.transducer = Transducer(ranks)
         self.pieces = Memory(self._piece)
         self.later = Memory(self._word, WORD_LIMIT)
@@ -266,6 +281,16 @@ class Encoder:
             return self._piece(found[0])
         return b"".join(map(self.pieces.__getitem__, found))
 
+    def words(self, text: str) -> list[str]:
+        """A text cut at the spaces between two characters that are not white space."""
+        simple = (
+            text[:1] != " "
+            and text[-1:] != " "
+            and not any(pair in text for pair in ("  ", " \n", "\n "))
+            and text.replace("\n", "").isprintable()  # so it has no other white space
+        )
+        return text.split(" ") if simple else self.between(text)
+
     def _split(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.find(text)))
 

@@ -39,6 +39,32 @@ def test_deterministic_steps_and_simulation_agree(limit):
             assert machine.encode(text.encode()) == LIBRARY._encode_single_piece(text)
 
 
+def test_simulation_goes_on_behind_agreed_tokens():
+    machine = bpe.Transducer(bpe.read_ranks(RANKS), 300)
+    begun = []
+    simulate = machine._simulate
+    machine._simulate = lambda piece, out: begun.append(len(out)) or simulate(piece, out)
+    for text in noise("abcdetion", 400, 40):
+        if text:
+            assert machine.encode(text.encode()) == LIBRARY._encode_single_piece(text)
+    assert max(begun) > 1
+
+
+def test_beginnings_are_forgotten_and_found_again(monkeypatch):
+    monkeypatch.setattr(bpe, "START_LIMIT", 20)
+    machine = bpe.Transducer(bpe.read_ranks(RANKS), 0)
+    for text in noise("abcdetion é漢=-0", 400, 30):
+        if text:
+            assert machine.encode(text.encode()) == LIBRARY._encode_single_piece(text)
+            assert len(machine.longest) <= 20
+    assert machine.longest
+
+
+def test_words_are_cut_alike_with_and_without_a_pattern():
+    for text in noise("ab  \n\t\x1c\x85 \u3000'\u200b", 5000, 9) + noise("ab \n", 3000, 9):
+        assert MACHINES[0].words(text) == MACHINES[0].between(text), repr(text)
+
+
 def test_spaces_between_words():
     for text in noise("ab  \n\t\x1c 　'st,", 3000, 12):
         assert ids(text) == LIBRARY.encode_ordinary(text)
